@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from gristmill.llm import mixing, secrets
+from gristmill.llm import mixing, neardup, secrets
 from gristmill.sources.stores import table
 
 QUERIES = {
+    "op1_minhash_near_dedup": lambda spark, d: neardup.components(table(spark, d, "documents"), k=3, similarity=0.85),
     "op9_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.taken(table(spark, d, "documents")),
 }
 
-ORACLE_SQL = {"op9_secret_scan": secrets.DIGEST_SQL, "op10_mixing": mixing.TAKEN_SQL}
+ORACLE_SQL = {"op1_minhash_near_dedup": neardup.COMPONENTS_SQL, "op9_secret_scan": secrets.DIGEST_SQL, "op10_mixing": mixing.TAKEN_SQL}
