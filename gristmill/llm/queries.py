@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from gristmill.llm import mixing, neardup, secrets
+import public_tokenizers
+
+from gristmill.llm import mixing, neardup, packing, secrets
 from gristmill.sources.stores import table
 
 QUERIES = {
     "op1_minhash_near_dedup": lambda spark, d: neardup.components(table(spark, d, "documents"), k=3, similarity=0.85),
+    "op7_packing": lambda spark, d: packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")),
     "op9_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.taken(table(spark, d, "documents")),
 }
