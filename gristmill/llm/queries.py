@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gristmill.llm import mixing, neardup, packing, secrets, toxicity
+from gristmill.llm import fingerprints, mixing, neardup, packing, secrets, toxicity
 from gristmill.sources.stores import table
 
 QUERIES = {
     "op1_minhash_near_dedup": lambda spark, d: neardup.components(table(spark, d, "documents"), k=3, similarity=0.85),
+    "op3_fingerprints": lambda spark, d: fingerprints.fingerprints(table(spark, d, "documents")),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_packing": lambda spark, d: packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")),
     "op9_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
