@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gristmill.llm import fingerprints, mixing, neardup, packing, secrets, toxicity
+from gristmill.llm import fingerprints, language, mixing, neardup, packing, secrets, toxicity
 from gristmill.sources.stores import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op3_fingerprints": lambda spark, d: fingerprints.fingerprints(table(spark, d, "documents")),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_packing": lambda spark, d: packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")),
+    "op8_language_id": lambda spark, d: language.predicted(table(spark, d, "documents")),
     "op9_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.taken(table(spark, d, "documents")),
 }
