@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def _packed(rows: np.ndarray, null: pa.Array) -> pa.Array:
     """One binary value for each row of a matrix; null where said."""
     width = rows.shape[1] * rows.itemsize
     made = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
-    return pa.compute.if_else(null, pa.scalar(None, pa.binary()), made)
+    return pc.if_else(null, pa.scalar(None, pa.binary()), made)
 
 
 def _matrix(column: pa.Array, kind: type) -> np.ndarray:

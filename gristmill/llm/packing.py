@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -228,7 +229,7 @@ def _place(rows: np.ndarray, tail: dict, sequence: int, total: int, window: int)
             if cut:
                 at, skip, size, whole, seq, off = (np.array(x) for x in zip(*cut, strict=True))
                 part = b.take(pa.array(at))
-                crc = pa.compute.if_else(pa.array(whole), part["ids_crc32"], pa.scalar(None, pa.int64()))
+                crc = pc.if_else(pa.array(whole), part["ids_crc32"], pa.scalar(None, pa.int64()))
                 out.append(pa.RecordBatch.from_arrays([part["doc_id"], part["text_hash"], part["piece"], pa.array(part["start"].to_numpy() + skip), pa.array(size), crc, part["doc_tokens"], pa.array(seq), pa.array(off)], names))
             yield from out
 
