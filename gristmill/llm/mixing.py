@@ -34,12 +34,12 @@ def n_words(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """(source, source_size, target) from (source, size).
+    """(source, source_size, target) from (source, size, n): n documents of a size.
 
     Water filling: target = min(cap * size, weight * level), the level being such that targets
     add up to all sizes. A few rounds find it, each one aggregate over the sources.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     order = [F.col("source").isNull(), F.col("source")]
     ranged = saved(per.repartitionByRange(8, *order).withColumn("part", F.spark_partition_id()))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
@@ -70,9 +70,8 @@ def copies(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, wei
     )
     if keep == ["doc_id"]:
         narrow = saved(narrow)
-    sizes = narrow.select(F.col("_source").alias("source"), F.col("_size").alias("size"))
-    targets = source_targets(sizes, weights, cap)
     buckets = saved(narrow.groupBy("_source", "_size", "_bucket").agg(F.count("*").alias("n")))
+    targets = source_targets(buckets.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "n"), weights, cap)
     cells = buckets.groupBy("_source", "_size").agg(F.sum("n").alias("n"))
     upto = lambda *by: F.coalesce(F.sum("n").over(W.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     outer = cells.select(F.col("_source").alias("_s"), F.col("_size").alias("_z"), upto("_source", "_size").alias("outer"))
