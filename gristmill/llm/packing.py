@@ -18,12 +18,15 @@ null ids are allowed; an empty table gives an empty result; extra columns don't
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,52 +35,113 @@ from gristmill.llm.text import buffers, runs
 from gristmill.sources.stores import saved
 
 WINDOW, END, SALTS = 4096, 2, 256
-#: Chunks whose ids a task remembers.
-REMEMBER = 400_000
+#: Chunks and words whose ids a worker remembers.
+REMEMBER, WORDS = 1_200_000, 700_000
+#: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
+#: others, and those with what may be a special token, go through the tokenizer as they are.
+PLAIN = re.compile(r"(?:(?!<\|)[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff])*")
+#: Fixed value: the vocabulary's rule for words, and the line feed that we put between chunks.
+WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
 #: Cut pieces that may be broadcast (about 40 bytes each); more are joined by a shuffle.
 SMALL = 200_000
 
 
+class Table:
+    """Growing lists of ids, flat."""
+
+    def __init__(self):
+        self.flat, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New entries: their ids one after the other, and the number of each."""
+        at = self.starts[self.n]
+        while at + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.n + len(sizes) >= len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        self.flat[at : at + len(ids)] = ids
+        self.starts[self.n + 1 : self.n + 1 + len(sizes)] = at + np.cumsum(sizes)
+        self.n += len(sizes)
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries one after the other, and the number of each."""
+        s = self.starts[at]
+        n = self.starts[at + 1] - s
+        if not len(at):
+            return self.flat[:0], n
+        return self.flat[np.repeat(s - np.concatenate(([0], np.cumsum(n[:-1]))), n) + np.arange(n.sum())], n
+
+
 class Encoder:
     """Token ids of white-space separated chunks, each distinct chunk encoded once.
 
     The vocabulary drops white space and never joins text across it, so a text's ids are those of
-    its chunks in order.
+    its chunks in order, and a chunk's those of its words. New words are encoded many at a time; a
+    word's last id is one of those that end words.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        ends = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(ends.values()) + 1, bool)
+        self.ends[[i for t, i in ends.items() if t.endswith("</w>")]] = True
         self.forget()
+        self.forget_words()
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.flat, self.starts = np.zeros(1 << 16, np.uint32), [0]
+        self.chunks = Table()
+
+    def forget_words(self) -> None:
+        self.word_index: dict[str, int] = {"\n": 0}
+        self.words = Table()
+        self.words.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def learn_words(self, new: list[str]) -> None:
+        for lo in range(0, len(new), 2000):
+            part = new[lo : lo + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):  # a word that isn't what it seems: one at a time
+                made = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
+                ids, stops = np.array([i for m in made for i in m], np.uint32), np.cumsum([len(m) for m in made])
+            self.words.add(ids, np.diff(stops, prepend=0))
+            self.word_index.update(zip(part, range(len(self.word_index), len(self.word_index) + len(part)), strict=True))
 
     def learn(self, chunks: list[bytes]) -> None:
-        made = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        for chunk, one in zip(chunks, made, strict=True):
-            ids = one.ids
-            end = self.starts[-1] + len(ids)
-            if end > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros(len(self.flat), np.uint32)))
-            self.flat[self.starts[-1] : end] = ids
-            self.index[chunk] = len(self.starts) - 1
-            self.starts.append(end)
+        if len(self.word_index) > WORDS:
+            self.forget_words()
+        texts = [c.decode() for c in chunks]
+        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
+        own = [t for t, p in zip(texts, plain, strict=True) if p]
+        if own:
+            words = WORD.findall("\n".join(own).lower())
+            new = list(dict.fromkeys(w for w in words if w not in self.word_index))
+            if new:
+                self.learn_words(new)
+            at = np.fromiter(map(self.word_index.__getitem__, words), np.int64, len(words))
+            ids, n = self.words.gather(at)
+            ends = np.concatenate((np.flatnonzero(at == 0), [len(at)]))
+            total = np.concatenate(([0], np.cumsum(n)))
+            self.chunks.add(ids, np.diff(total[ends], prepend=0))
+        for t in (t for t, p in zip(texts, plain, strict=True) if not p):
+            ids = self.tokenizer.encode(t, add_special_tokens=False).ids
+            self.chunks.add(np.array(ids, np.uint32), np.array([len(ids)]))
+        order = [c for c, p in zip(chunks, plain, strict=True) if p] + [c for c, p in zip(chunks, plain, strict=True) if not p]
+        self.index.update(zip(order, range(len(self.index), len(self.index) + len(order)), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text with the end token."""
         if len(self.index) > REMEMBER:
             self.forget()
         chunks = [t.split() for t in texts]
-        new = {c for part in chunks for c in part}.difference(self.index)
+        new = set().union(*chunks).difference(self.index)
         if new:
             self.learn(list(new))
-        at = np.fromiter((self.index[c] for part in chunks for c in part), np.int64, sum(map(len, chunks)))
-        starts = np.array(self.starts)
-        s, n = starts[at], starts[at + 1] - starts[at]
-        ids = self.flat[np.repeat(s - np.concatenate(([0], np.cumsum(n[:-1]))), n) + np.arange(n.sum())] if len(at) else self.flat[:0]
+        flat = list(itertools.chain.from_iterable(chunks))
+        ids, n = self.chunks.gather(np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)))
         ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([0, *map(len, chunks)])]
         return [np.append(ids[a:b], np.uint32(END)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
