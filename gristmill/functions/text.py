@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: What counts as white space at the ends of a text.
 SPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
 MIN_LENGTH = 3
 
 
-@F.arrow_udf("string")
 def _nfc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, "NFC")
+    return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
 
 
 def nfc(text: Column) -> Column:
     """NFC form; only texts with a character outside ASCII are sent to Python."""
-    return F.coalesce(_nfc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    made = F.arrow_udf(_nfc, StringType())
+    return F.coalesce(made(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
 def strip(text: Column) -> Column:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill.functions.vectors import distance
 from gristmill.sources.stores import saved
@@ -74,7 +75,8 @@ def nearest(df: DataFrame, middles: DataFrame, vector: str = "embedding") -> Dat
     if count * (dim or 0) * 8 <= BROADCAST:
         known = sorted(((r["label"], r["centroid"]) for r in middles.collect()), key=lambda x: x[0])
         c = np.array([m for _, m in known], np.float64)
-        labels = np.array([n for n, _ in known])
+        labels = np.array([n for n, _ in known], object)
+        kind = to_arrow_type(middles.schema["label"].dataType)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             half = (c * c).sum(1)
@@ -84,7 +86,7 @@ def nearest(df: DataFrame, middles: DataFrame, vector: str = "embedding") -> Dat
                     x = part[vector].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, -1)
                     at = (half - 2 * (x @ c.T)).argmin(1)
                     d = np.sqrt(((x - c[at]) ** 2).sum(1))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(labels[at]), pa.array(d)], [*part.schema.names, "nearest", "distance"])
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(labels[at].tolist(), kind), pa.array(d)], [*part.schema.names, "nearest", "distance"])
 
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         return df.mapInArrow(run, f"{kinds}, nearest {middles.schema['label'].dataType.simpleString()}, distance double")
@@ -98,12 +100,12 @@ def nearest(df: DataFrame, middles: DataFrame, vector: str = "embedding") -> Dat
 
 
 def kmeans(df: DataFrame, k: int, vector: str = "embedding", seeds: tuple[int, ...] = (1, 2, 3), max_iter: int = 100) -> DataFrame:
-    """``df`` with cluster_id of the best of several runs; k is at most the number of rows."""
+    """``df`` with cluster_id of the best of several runs; k is at most the number of distinct vectors."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     rows = saved(df.withColumn("_v", F.col(vector)))
-    n = rows.count()
+    n = rows.select("_v").distinct().limit(k + 1).count()  # more centres than distinct vectors can't be
     if not n:
         return df.withColumn("cluster_id", F.lit(0))
     rows = rows.withColumn("_vector", array_to_vector(F.transform("_v", lambda x: x.cast("double"))))

@@ -19,7 +19,7 @@ def quotas(sizes: DataFrame, total: int, overrides: dict[str, int] | None = None
     """
     fixed = F.create_map(*(F.lit(x) for kv in (overrides or {"": 0}).items() for x in kv)).cast("map<string,bigint>")[F.col("bucket")] if overrides else F.lit(None).cast("long")
     everything = W.partitionBy()
-    s = sizes.withColumn("fixed", F.least(fixed, F.col("size")))
+    s = sizes.withColumn("fixed", F.when(fixed.isNotNull(), F.least(fixed, F.col("size"))))  # least alone skips nulls
     s = s.withColumn("left", F.greatest(F.lit(total) - F.coalesce(F.sum("fixed").over(everything), F.lit(0)), F.lit(0)))
     s = s.withColumn("free", F.sum(F.when(F.col("fixed").isNull(), F.col("size"))).over(everything))
     s = s.withColumn("raw", F.when(F.col("fixed").isNull() & (F.col("free") > 0), F.col("left") * F.col("size") / F.col("free")).otherwise(0.0))

@@ -96,7 +96,7 @@ def source_of(path: Column) -> Column:
 
 
 def record_id(domain: Column, source: Column, path: Column, line_no: Column) -> Column:
-    """domain/source/folder-stem:line; the folder keeps ids of equally named files apart."""
+    """domain/source/folders-stem:line; up to three folders keep ids of equally named files apart."""
     stem = F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
-    folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    return F.concat(domain, F.lit("/"), source, F.lit("/"), F.concat_ws("-", F.nullif(folder, F.lit("")), stem), F.lit(":"), line_no.cast("string"))
+    folders = F.replace(F.regexp_extract(path, r"((?:[^/:]+/){0,3})[^/]+$", 1), F.lit("/"), F.lit("-"))
+    return F.concat(domain, F.lit("/"), source, F.lit("/"), folders, stem, F.lit(":"), line_no.cast("string"))
