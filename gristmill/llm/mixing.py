@@ -60,9 +60,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def copies(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with size, source_size, target, copies."""
-    keep = keep or ["doc_id"]
+def copies(docs: DataFrame, keep: list[str], seed: str = SEED, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """Columns ``keep`` of ``docs`` as _k0, _k1, ... with _size, source_size, target, copies."""
     own = [f"_k{i}" for i in range(len(keep))]
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     narrow = docs.select(
@@ -85,19 +84,20 @@ def copies(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, wei
     width = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce("_source", F.lit("")))), 1, 5), 16, 10).cast("double") / F.lit(1048576.0)
     made = (F.floor(offset + width * rank) - F.floor(offset + width * (rank - 1))).cast("long")
-    return ranked.select(*(F.col(n).alias(k) for k, n in zip(keep, own, strict=True)), F.col("_size").alias("size"), "source_size", "target", made.alias("copies"))
+    return ranked.select(*own, "_size", "source_size", "target", made.alias("copies"))
 
 
 def mixed(docs: DataFrame, seed: str = SEED, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mix itself: each document once for each copy, with the columns of ``docs``."""
     names = docs.columns
     made = copies(docs, names, seed, weights, cap).where("copies > 0")
-    return made.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*names)
+    every = made.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return every.select(*(F.col(f"_k{i}").alias(n) for i, n in enumerate(names)))
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    made = copies(docs)
-    return made.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    made = copies(docs, ["doc_id"])
+    return made.select(F.col("_k0").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("copies")).alias("taken"))
 
 
 TAKEN_SQL = r"""

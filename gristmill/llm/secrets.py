@@ -69,7 +69,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_id", owner: str = "source") -> DataFrame:
-    """Columns ``keep`` with base and all: arrays of spans, those in all with their owners."""
+    """Columns ``keep`` as _k0, _k1, ... with base and all: arrays of spans, those in all with their owners."""
     text = F.coalesce(F.col("text"), F.lit(""))
     every = F.concat(*(_spans(text, k) for k in KINDS))
     rows = saved(docs.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)), F.col(repo).alias("_repo"), F.col(owner).alias("_owner"), every.alias("_every")).withColumn("_row", F.monotonically_increasing_id()))
@@ -80,7 +80,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_
     per = known.groupBy("_row").agg(F.collect_list(span).alias("all"))
     base = F.filter("_every", lambda s: s["kind"].isin(BASE)).alias("base")
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint,repos:bigint,owners:bigint>>")
-    return rows.join(per, "_row", "left").select(*(F.col(f"_k{i}").alias(k) for i, k in enumerate(keep)), base, F.coalesce("all", empty).alias("all"))
+    return rows.join(per, "_row", "left").select(*(f"_k{i}" for i in range(len(keep))), base, F.coalesce("all", empty).alias("all"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def digest(docs: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     live = lambda s: s["owners"] < EXAMPLE_OWNERS
     return found.select(
-        "doc_id", *map(count, BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"),
+        F.col("_k0").alias("doc_id"), *map(count, BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"),
         F.size(F.filter("all", live)).cast("long").alias("n_live"), F.size(F.filter("all", lambda s: ~live(s))).cast("long").alias("n_example"),
     )
 
@@ -100,17 +100,18 @@ def masked(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     rows = scan(docs, tuple(names))
+    whole = F.col(f"_k{names.index('text')}")
     live = F.array_sort(F.transform(F.filter("all", lambda s: s["owners"] < EXAMPLE_OWNERS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        gap = F.substring(whole, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
         piece = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit(MASK))).otherwise(F.lit(""))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    text = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"))))
-    clean = F.when(F.size(live) > 0, text).otherwise(F.col("text")).alias("text")
-    return rows.select(*(clean if n == "text" else F.col(n) for n in names))
+    text = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substr(whole, (acc["at"] + 1).cast("int"))))
+    clean = F.when(F.size(live) > 0, text).otherwise(whole)
+    return rows.select(*((clean if n == "text" else F.col(f"_k{i}")).alias(n) for i, n in enumerate(names)))
 
 
 _SQL_SPANS = r"""

@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     return kept.astype(np.int32), w[kept], float(w[-1])
 
 
-def _scores(model: tuple[np.ndarray, np.ndarray, float]):
+def _scores(model: tuple[np.ndarray, np.ndarray, float], name: str = "score"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, weights, bias = model
         dense = np.zeros(1 << BITS)
@@ -113,7 +113,7 @@ def _scores(model: tuple[np.ndarray, np.ndarray, float]):
                 once = np.unique(row[hit] * (1 << BITS) + found[hit])
                 out[lo:hi] += np.bincount(once >> BITS, dense[once & ((1 << BITS) - 1)], hi - lo)
             score = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*(c for n, c in zip(batch.schema.names, batch.columns, strict=True)), pa.array(score)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
 
     return run
 
@@ -137,5 +137,8 @@ def cleaned(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, labels)
     if model is None:
         return docs
+    name = "_toxicity"
+    while name in map(str.lower, docs.columns):
+        name += "_"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scores(model), f"{schema}, score double").where(F.col("score") < CUT).select(*docs.columns)
+    return docs.mapInArrow(_scores(model, name), f"{schema}, {name} double").where(F.col(name) < CUT).select(*docs.columns)

@@ -8,7 +8,7 @@ def brute(rows, every=50, k=5):
     for i, x in rows:
         if i is None or x is None or not len(x) or any(c is None or not np.isfinite(c) for c in x) or not any(x):
             continue
-        good[i] = np.array(x, float)
+        good[i] = np.array(x, float) / np.abs(x).max()
     out = {}
     for q in good:
         if q % every:
