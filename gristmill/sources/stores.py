@@ -32,3 +32,9 @@ def saved(df: DataFrame) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the input tables (a Parquet file or folder)."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the working tables of this application; results that weren't written yet need them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
