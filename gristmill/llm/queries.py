@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gristmill.llm import fingerprints, html, language, mixing, neardup, neighbours, packing, secrets, toxicity
+from gristmill.llm import fingerprints, html, language, mixing, neardup, neighbours, packing, passages, secrets, toxicity
 from gristmill.sources.stores import table
 
 QUERIES = {
     "op1_minhash_near_dedup": lambda spark, d: neardup.components(table(spark, d, "documents"), k=3, similarity=0.85),
     "op2_nearest_neighbours": lambda spark, d: neighbours.nearest(table(spark, d, "embeddings")),
     "op3_fingerprints": lambda spark, d: fingerprints.fingerprints(table(spark, d, "documents")),
+    "op4_substring_dedup": lambda spark, d: passages.passages(table(spark, d, "documents")),
     "op5_html_extraction": lambda spark, d: html.extracted(table(spark, d, "pages")),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_packing": lambda spark, d: packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")),
