@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Rows in an Arrow batch: texts may be long, and a worker holds a batch several times over.
+BATCH, BATCH_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,6 +26,8 @@ def saved(df: DataFrame) -> DataFrame:
     branches that use the table twice don't compute it twice.
     """
     spark = df.sparkSession
+    if not 0 < int(spark.conf.get(BATCH_SETTING, "10000")) <= BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH))
     path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
