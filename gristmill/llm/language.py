@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import LOWER, buffers, runs
+from gristmill.llm.text import LOWER, buffers, runs, tidy
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 8, 4
 TRAIN_ROWS, TRAIN_WINDOWS, EPOCHS, RATE = 3000, 2, 6, 0.01
@@ -183,5 +183,5 @@ def predicted(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     if model is None:
         return docs.select("doc_id", out, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = docs.select("doc_id", "text").mapInArrow(_predict(*model), f"doc_id {kind}, lang_pred string, score double")
+    made = docs.select("doc_id", "text").mapInArrow(tidy(_predict(*model)), f"doc_id {kind}, lang_pred string, score double")
     return made.select("doc_id", out, "lang_pred", "score")

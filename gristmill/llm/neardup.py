@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import distinct, mix, powers, shingles, words
+from gristmill.llm.text import distinct, mix, powers, shingles, tidy, words
 from gristmill.operators.graph import connected_components
 from gristmill.sources.stores import saved
 
@@ -254,7 +254,7 @@ EDGES = "src long, dst long"
 
 def _families(reps: DataFrame, t: int) -> DataFrame:
     """(node, component): classes joined by chains of signatures that agree in t coordinates."""
-    posted = reps.select("rep", "sig").mapInArrow(_postings, "rep long, p long")
+    posted = reps.select("rep", "sig").mapInArrow(tidy(_postings), "rep long, p long")
     shared = posted.groupBy("p").agg(F.count("*").alias("n")).where("n > 1")
     mine = posted.join(shared, "p").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "p"))).alias("all")).where(F.size("all") >= t)
     prefix = saved(mine.select("rep", F.explode(F.slice("all", F.lit(1), F.size("all") - t + 1)).alias("x")).select("rep", F.col("x.p").alias("p")))
@@ -280,7 +280,7 @@ def _families(reps: DataFrame, t: int) -> DataFrame:
     cols = ["g", "i", "j", "side", "rep", "sig"]
     for r in rows:
         ordered = r.select(*cols).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
-        edges.append(ordered.mapInArrow(_merge(t), EDGES))
+        edges.append(ordered.mapInArrow(tidy(_merge(t)), EDGES))
     every = edges[0]
     for e in edges[1:]:
         every = every.union(e)
@@ -300,7 +300,7 @@ def _star(t: int):
 def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int = COORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     powers(1, np.uint64(3))
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signatures(k, coords), "doc_id long, n_shingles long, key binary, sig binary")
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(_signatures(k, coords)), "doc_id long, n_shingles long, key binary, sig binary")
     rows = saved(made)
     reps = saved(rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
     families = saved(_families(reps, threshold(similarity, coords)))
@@ -309,12 +309,12 @@ def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int
     inside = saved(families.join(blocks, "component").select("node", F.col("component").alias("family"), "blocks"))
     few = inside.count() <= SMALL
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(inside) if few else inside, "node")
-    sets = texts.mapInArrow(_sets(k), "node long, family long, blocks int, items binary")
+    sets = texts.mapInArrow(tidy(_sets(k)), "node long, family long, blocks int, items binary")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j")))
     placed = sets.withColumn("x", F.explode(every)).select("family", "x.i", "x.j", "node", "items")
     num = round(similarity * 100)
-    links = placed.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(_confirm((num, 100)), EDGES)
+    links = placed.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(tidy(_confirm((num, 100))), EDGES)
     linked = connected_components(links)
     named = reps.select("key", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")

@@ -31,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import buffers, runs
+from gristmill.llm.text import RUN, buffers, runs, tidy
 from gristmill.sources.stores import saved
 
 WINDOW, END, SALTS = 4096, 2, 256
-#: Chunks and words whose ids a worker remembers.
-REMEMBER, WORDS = 1_200_000, 700_000
+#: Chunks and words whose ids a task remembers.
+REMEMBER, WORDS = 600_000, 400_000
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
 #: others, and those with what may be a special token, go through the tokenizer as they are.
-PLAIN = re.compile(r"(?:(?!<\|)[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff])*")
+PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
 #: Fixed value: the vocabulary's rule for words, and the line feed that we put between chunks.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
 #: Cut pieces that may be broadcast (about 40 bytes each); more are joined by a shuffle.
@@ -114,14 +114,17 @@ class Encoder:
         if len(self.word_index) > WORDS:
             self.forget_words()
         texts = [c.decode() for c in chunks]
-        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
+        whole = "\r".join(texts)
+        plain = [True] * len(texts) if "<|" not in whole and PLAIN.fullmatch(whole) else ["<|" not in t and bool(PLAIN.fullmatch(t)) for t in texts]
         own = [t for t, p in zip(texts, plain, strict=True) if p]
         if own:
             words = WORD.findall("\n".join(own).lower())
-            new = list(dict.fromkeys(w for w in words if w not in self.word_index))
-            if new:
-                self.learn_words(new)
-            at = np.fromiter(map(self.word_index.__getitem__, words), np.int64, len(words))
+            at = np.fromiter(map(self.word_index.get, words, itertools.repeat(-1)), np.int64, len(words))
+            new = np.flatnonzero(at < 0)
+            if len(new):
+                missing = [words[i] for i in new.tolist()]
+                self.learn_words(list(dict.fromkeys(missing)))
+                at[new] = np.fromiter(map(self.word_index.__getitem__, missing), np.int64, len(new))
             ids, n = self.words.gather(at)
             ends = np.concatenate((np.flatnonzero(at == 0), [len(at)]))
             total = np.concatenate(([0], np.cumsum(n)))
@@ -137,11 +140,14 @@ class Encoder:
         if len(self.index) > REMEMBER:
             self.forget()
         chunks = [t.split() for t in texts]
-        new = set().union(*chunks).difference(self.index)
-        if new:
-            self.learn(list(new))
         flat = list(itertools.chain.from_iterable(chunks))
-        ids, n = self.chunks.gather(np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)))
+        at = np.fromiter(map(self.index.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = [flat[i] for i in new.tolist()]
+            self.learn(list(dict.fromkeys(missing)))
+            at[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
+        ids, n = self.chunks.gather(at)
         ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([0, *map(len, chunks)])]
         return [np.append(ids[a:b], np.uint32(END)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -155,10 +161,24 @@ def encoded(vocabulary: str, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]
         _encoders[vocabulary] = Encoder(vocabulary)
     encoder = _encoders[vocabulary]
     data, offs = buffers(texts)
-    for lo, hi in runs(offs):
+    for lo, hi in runs(offs, 2 * RUN):
         yield from enumerate(encoder.encode([data[offs[r] : offs[r + 1]].tobytes() for r in range(lo, hi)]), lo)
 
 
+def forgetting(run):
+    """A batch function that drops what its task remembered."""
+
+    def forgot(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for encoder in _encoders.values():
+                encoder.forget()
+                encoder.forget_words()
+
+    return tidy(forgot)
+
+
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
@@ -182,7 +202,7 @@ def _pieces(vocabulary: str, window: int):
             numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()).take(at), batch["text_hash"].take(at), *numbers], ["doc_id", "text_hash", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return run
+    return forgetting(run)
 
 
 def fill(counts: dict[int, int], room: int) -> tuple[int, dict[int, int]]:
@@ -309,7 +329,7 @@ def _again(vocabulary: str):
             crc = [checksum(ids[start[r] : start[r] + length[r]]) for r, ids in encoded(vocabulary, b["text"])]
             yield pa.RecordBatch.from_arrays([b["piece"], b["start"], pa.array(crc, pa.int64())], ["piece", "start", "crc"])
 
-    return run
+    return forgetting(run)
 
 
 def packed(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import ALNUM_BYTES, mix, words
+from gristmill.llm.text import ALNUM_BYTES, mix, tidy, words
 from gristmill.sources.stores import saved
 
 BITS = 20
@@ -86,7 +86,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     known = known.withColumn("place", F.md5(F.concat_ws("|", F.lit("ftrl"), F.col("doc_id").cast("string"))))
     known = saved(known.orderBy("place").limit(TRAIN_ROWS))
     joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    rows = joined.select("text", F.col("toxic").cast("int").alias("toxic"), "place").mapInArrow(_bags, "toxic int, place string, bag binary")
+    rows = joined.select("text", F.col("toxic").cast("int").alias("toxic"), "place").mapInArrow(tidy(_bags), "toxic int, place string, bag binary")
     rows = sorted(rows.collect(), key=lambda r: (r["place"], r["bag"]))  # at most TRAIN_ROWS ids of TRAIN_BUCKETS numbers
     if not rows:
         return None
@@ -124,7 +124,7 @@ def scored(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     model = train(docs, labels, folds, held)
     if model is None:
         return own.withColumn("score", F.lit(0.0))
-    return own.mapInArrow(_scores(model), f"doc_id {own.schema['doc_id'].dataType.simpleString()}, text string, score double")
+    return own.mapInArrow(tidy(_scores(model)), f"doc_id {own.schema['doc_id'].dataType.simpleString()}, text string, score double")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,4 +141,4 @@ def cleaned(docs: DataFrame, labels: DataFrame) -> DataFrame:
     while name in map(str.lower, docs.columns):
         name += "_"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scores(model, name), f"{schema}, {name} double").where(F.col(name) < CUT).select(*docs.columns)
+    return docs.mapInArrow(tidy(_scores(model, name)), f"{schema}, {name} double").where(F.col(name) < CUT).select(*docs.columns)
