@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import buffers, mix, powers, runs
+from gristmill.llm.text import buffers, mix, powers, runs, tidy
 from gristmill.sources.stores import saved
 
 SIZE, FROM = 48, 2
@@ -127,12 +127,13 @@ def likeness(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> np.ndarray:
     return np.where(same, 1.0, shared / np.maximum(union, 1))
 
 
-def _printed(roots: np.ndarray, sketch: np.ndarray, sizes: np.ndarray) -> list[str]:
-    return [f"{r:016x}:{s[:n].byteswap().tobytes().hex()}" for r, s, n in zip(roots.tolist(), sketch, sizes.tolist(), strict=True)]
+def _printed(roots: np.ndarray, sketch: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Root and sketch in bytes; hex digits are made only for the result, as the working table counts as disk."""
+    return [r + s[: 4 * n] for r, s, n in zip((x.tobytes() for x in roots.byteswap()), (x.tobytes() for x in sketch.byteswap()), sizes.tolist(), strict=True)]
 
 
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 EDGE = ", part int, first boolean, text string"
 
 
@@ -149,7 +150,7 @@ def _rows(ids: list, texts: list[str], nexts: list[str]) -> list[pa.Array]:
     sha = [hashlib.sha256(t.encode()).hexdigest() for t in edited]
     near = likeness(sketch[:n], esketch, roots[:n] == eroots), likeness(sketch[:n], sketch[1:], roots[:n] == roots[1:])
     prints = _printed(roots[:n], sketch[:n], sizes[:n]), _printed(eroots, esketch, esizes)
-    return [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(sha), pa.array(prints[0]), pa.array(prints[1]), *(pa.array(x, pa.float64()) for x in near)]
+    return [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(sha), *(pa.array(x, pa.binary()) for x in prints), *(pa.array(x, pa.float64()) for x in near)]
 
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +159,7 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = None
 
     def edge(doc: tuple, first: bool) -> pa.RecordBatch:
-        blank = [pa.array([doc[0]], pa.int64()), *(pa.array([None], t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))]
+        blank = [pa.array([doc[0]], pa.int64()), *(pa.array([None], t) for t in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()))]
         return pa.RecordBatch.from_arrays([*blank, pa.array([part], pa.int32()), pa.array([first]), pa.array([doc[1]])], [*NAMES, "part", "first", "text"])
 
     for batch in batches:
@@ -192,9 +193,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranged = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
-    made = saved(ranged.mapInArrow(_within, SCHEMA + EDGE))
+    made = saved(ranged.mapInArrow(tidy(_within), SCHEMA + EDGE))
     edges = made.where("part is not null").select("part", "first", "doc_id", "text")  # two rows of a partition
     order = W.orderBy("part")
     after = edges.where("first").select("part", F.lead("text").over(order).alias("next"), F.first("text").over(order).alias("very_first"))
     last = edges.where("not first").select("part", "doc_id", "text").join(after, "part").select("doc_id", "text", F.coalesce("next", "very_first").alias("after"))
-    return made.where("part is null").select(*NAMES).unionByName(last.mapInArrow(_across, SCHEMA))
+    out = made.where("part is null").select(*NAMES).unionByName(last.mapInArrow(_across, SCHEMA))
+    digits = lambda c: F.regexp_replace(F.lower(F.hex(c)), "^(.{16})", "$1:")
+    return out.withColumns({c: digits(c) for c in ("fingerprint", "edited_fingerprint")}).select(*NAMES)
