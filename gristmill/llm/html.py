@@ -3,7 +3,7 @@
 A page is read as a sequence of tags and runs of words. Words score above zero (less in links and
 in elements that are named as advertising, menus or the like) and tags below; one linear scan finds
 the run with the largest sum, and its words are the text. Elements of the kinds that never belong to
-an article are left out of the run as well.
+an article are left out of the run as well, unless they hold the article.
 
 Weights come from pages that label themselves: exactly one ``article`` (else ``main``) element
 marks what is inside. They start as log-odds of being inside and are then mended by a structured
@@ -30,7 +30,7 @@ from gristmill.sources.stores import saved
 TRAIN_PAGES, EPOCHS = 300, 10
 UNSEEN = "unseen"
 #: Weights where no page of the corpus labels itself.
-PLAIN = {"word": 1.0, "word a": -0.5, "word out": -1.0, "p": -0.01, "/p": -0.01, UNSEEN: -3.0}
+PLAIN = {"word": 1.0, "word a": -0.5, "word out": -1.0, "word named": -0.5, "p": -0.01, "/p": -0.01, UNSEEN: -3.0}
 #: Elements without page text, elements around an article, inline elements.
 HIDDEN = "script style noscript template title textarea iframe svg object canvas"
 OUTSIDE = set("nav aside form footer menu dialog button select".split())
@@ -39,39 +39,112 @@ VOID = set("area base br col embed hr img input link meta source track wbr".spli
 NAMED = re.compile(
     r"(?i)(?:class|id|role)\s*=\s*[\"']?[^\"'>]*(?<![a-z])(?:ads?|adverts?|advertisement|adbox|banner|breadcrumbs?|comments?|comment-list|cookies?|consent|disqus|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|paywall|popup|promo|promoted|related|respond|search|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?![a-z])"
 )
+#: Whole class, id or role tokens of elements to leave out; NAMED has them as parts too.
+NAMES = set(
+    "ad ads advert adverts advertisement adbox banner breadcrumb breadcrumbs comment comments comment-list cookie cookies consent disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice paywall popup promo promoted related respond search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+)
+_TOKENS = re.compile(r"(?i)(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Tags that end open elements by HTML's rules, and the elements in which such ends stay.
+_BLOCK = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "option": {"option"}}
+_ENDS |= {n: {"td", "th", "tr", "thead", "tbody", "tfoot"} for n in ("thead", "tbody", "tfoot")} | {n: {"p"} for n in _BLOCK}
+_SCOPES = {n: {"table"} for n in ("td", "th", "tr", "thead", "tbody", "tfoot")} | {n: set("ul ol menu dl table td th select".split()) for n in ("li", "dt", "dd", "option")}
+_P_SCOPE = set("table td th caption button object".split())
 _DROP = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<({HIDDEN.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
 
 
+def _elements(tags: list[tuple[str, bool]]) -> list[int]:
+    """For each (name, close) the index of the tag that ends its element; its own for end tags and void ones."""
+    ends = list(range(len(tags)))
+    stack: list[int] = []
+    open_: Counter = Counter()
+
+    def pop(i: int) -> str:
+        j = stack.pop()
+        ends[j] = i
+        open_[tags[j][0]] -= 1
+        return tags[j][0]
+
+    for i, (name, close) in enumerate(tags):
+        if close:
+            if not open_[name]:
+                continue
+            if name in INLINE:  # doesn't end blocks in it
+                k = len(stack) - 1
+                while tags[stack[k]][0] != name and tags[stack[k]][0] in INLINE:
+                    k -= 1
+                if tags[stack[k]][0] != name:
+                    continue
+            while pop(i) != name:
+                pass
+            continue
+        gone = _ENDS.get(name)
+        if gone and any(open_[g] for g in gone):
+            stay = _SCOPES.get(name, _P_SCOPE)
+            k, cut = len(stack) - 1, len(stack)
+            while k >= 0 and tags[stack[k]][0] not in stay:
+                if tags[stack[k]][0] in gone:
+                    cut = k
+                    if name not in ("tr", "thead", "tbody", "tfoot"):
+                        break
+                elif "p" in gone and tags[stack[k]][0] not in INLINE:
+                    break
+                k -= 1
+            while len(stack) > cut:
+                pop(i)
+        if name not in VOID:
+            stack.append(i)
+            open_[name] += 1
+    while stack:
+        pop(len(tags))
+    return ends
+
+
 def tokens(page: str) -> list[tuple[str, int, str, bool]]:
-    """(key, words, text, out) of each tag (no words) and run of words; out: in an element to leave out."""
+    """(key, words, text, out) of each tag (no words) and run of words; out: in an element to leave out.
+
+    Left out are elements of the OUTSIDE kinds and those that have one of NAMES as a whole token, but
+    none that holds an article or main element, and for its name (or as a form) none that holds
+    most of the page's words. Outside of articles a name as a part only gives words a key of their own.
+    """
     page = _DROP.sub(" ", page)
+    found = [(m, (m[2] or m[5]).lower(), bool(m[1] if m[2] else m[4])) for m in _TAG.finditer(page)]
+    ends = _elements([(name, close) for _, name, close in found])
+    pieces = [page[(found[i - 1][0].end() if i else 0) : (found[i][0].start() if i < len(found) else len(page))] for i in range(len(found) + 1)]
+    counts = [len(p.split()) for p in pieces]
+    before, articles = [0], [0]
+    for i, (_, name, close) in enumerate(found):
+        before.append(before[-1] + counts[i])
+        articles.append(articles[-1] + (name in ("article", "main") and not close))
+    total = before[-1] + counts[-1]
+    before.append(total)
     made: list[tuple[str, int, str, bool]] = []
-    at, out, depth, links, article = 0, "", 0, 0, 0
-
-    def text(piece: str) -> None:
-        if piece:
-            n = len(piece.split())
-            made.append(("word out" if out else "word a" if links else "word", n, piece, bool(out)))
-
-    for m in _TAG.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        close, name, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], "")
-        name = name.lower()
+    out, named, links, article = -1, -1, 0, 0  # the tags that end what is left out or named
+
+    for i, (m, name, close) in enumerate(found):
+        if pieces[i]:
+            made.append(("word out" if out >= i else "word a" if links else "word named" if named >= i and article <= 0 else "word", counts[i], pieces[i], out >= i))
         if name in ("article", "main"):
             article += -1 if close else 1
-        if out:
-            if name == out:
-                depth += -1 if close else 1
-                if not depth:
-                    out = ""
-        elif not close and name not in VOID and name not in ("html", "body", "article", "main") and (name in OUTSIDE or (name == "header" and not article) or (rest and NAMED.search(rest))):
-            out, depth = name, 1
+        if out <= i and not close and name not in VOID and name not in ("html", "body", "article", "main"):
+            rest, end = m[3] or "", ends[i]
+            hit = rest and NAMED.search(rest)
+            whole = hit and any(t in NAMES for a in _TOKENS.findall(rest) for t in "".join(a).lower().split())
+            most = 2 * (before[min(end, len(found)) + 1] - before[i + 1]) > total
+            kind = name in OUTSIDE or (name == "header" and article <= 0)
+            holds = articles[min(end, len(found))] > articles[i]
+            if not holds and ((kind and not (name == "form" and most)) or (whole and not most)):
+                out = end
+            elif hit and not holds and not most:
+                named = max(named, end)
         if name == "a":
             links = 0 if close else 1
-        made.append((("/" if close else "") + name, 0, "", bool(out)))
-    text(page[at:])
+        # an implied end leaves out the tag before, not the one that ends it
+        made.append((("/" if close else "") + name, 0, "", out > i))
+    if pieces[-1]:
+        i = len(found)
+        made.append(("word out" if out >= i else "word a" if links else "word named" if named >= i and article <= 0 else "word", counts[-1], pieces[-1], out >= i))
     return made
 
 
@@ -112,6 +185,7 @@ def learn(pages: list[list[tuple[str, int]]]) -> dict[str, float]:
         odds = (inside[key] + 0.5) / (outside[key] + 0.5)
         weights[key] = min(max(odds - 1, -1.0), 1.0) if key[:4] == "word" else min(-0.01, 10.0 * (min(odds, 1.0) - 1))
     weights.setdefault("word", 1.0)
+    weights.setdefault("word named", PLAIN["word named"])
     weights["word"] = max(weights["word"], 0.1)
     weights[UNSEEN] = PLAIN[UNSEEN]
 

@@ -128,3 +128,22 @@ def test_pages_query(spark):
     assert len(got) == 8 and all(r.n_chars == len(r.text) for r in got)
     assert sum(r.text.startswith("Big & title First bold") for r in got) == 5 and sum(r.text == "" for r in got) == 2
     assert extracted(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_names_leave_out_no_article_and_no_rest_of_the_page():
+    body = "these are words of the article itself " * 3
+    story = " ".join(body.split())
+    cases = [
+        (f"<div class='content has-sidebar'><article><p>{body}</p></article></div>", story),
+        (f"<div class='sidebar'><article><p>{body}</p></article></div>", story),
+        (f"<form id='f'><article><p>{body}</p></article></form>", story),
+        (f"<article><h2 id='related-work'>Related work</h2><section id='search-results'><p>{body}</p></section></article>", "Related work " + story),
+        (f"<article><p class='notice'>short<p>{body}<p>more</article>", story + " more"),
+        (f"<article><ul><li class='nav'>menu<li>{body}<li>last</ul></article>", story + " last"),
+        (f"<article><table><tr><td class='ad'>buy<td>{body}</table></article>", story),
+        (f"<article><p>{body}</p><div class='wide ad'>buy</div></article>", story),
+        (f"<article><p>{body}</p><div class='ad'>buy <b>now</b></div><p>the end of it all</p></article>", story + " the end of it all"),
+    ]
+    for page, want in cases:
+        assert extract(page, PLAIN | {"unseen": -0.01}) == want, page
+    assert [n for _, n, _, out in tokens("<div class='box-sidebar'>a b</div>") if not out] == [0, 2, 0]
