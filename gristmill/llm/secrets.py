@@ -5,7 +5,8 @@ tokens that no keyword announces; whether such a token counts is for the corpus
 values are hashed and aggregated by distinct repositories and owners (here: documents and
 sources). A value seen with several owners is a widely copied example; one kept by a single owner
 or two is live-looking. Base spans always stay and are told apart by ``n_live`` and ``n_example``;
-an opaque token is reported only if it is live-looking.
+an opaque token is reported only if it is live-looking. In ``digest`` opaque tokens have six digits
+and six letters at least, as its SQL says; ``masked`` takes all with a digit and a letter.
 
 Spans: the text is marked at each match, split at the marks, and lengths are summed, so positions
 are in code points. The marks are two control characters; where a text holds them itself they
@@ -33,8 +34,11 @@ MASK = "[secret]"
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint>>"
 
 
-def _spans(text: Column, kind: str) -> Column:
-    """array<struct<start, rank, kind, end, hash>> of one kind's matches in ``text``."""
+def _spans(text: Column, kind: str, least: int = 6) -> Column:
+    """array<struct<start, rank, kind, end, hash>> of one kind's matches in ``text``.
+
+    An opaque token has ``least`` digits and letters or more.
+    """
     pattern = PATTERNS[kind]
     plain = F.when(text.rlike("[\u0001\u0002]"), F.translate(text, "\u0001\u0002", "\u0003\u0003")).otherwise(text)
     parts = F.split(F.regexp_replace(plain, pattern, "\u0001$0\u0002"), "\u0001")
@@ -45,8 +49,8 @@ def _spans(text: Column, kind: str) -> Column:
         good = part.contains("\u0002")
         if kind == "assign":
             good = good & (F.length(value) >= 6)
-        if kind == "opaque":  # letters of both cases or one case with digits throughout, and several digits
-            good = good & (F.regexp_count(found, F.lit("[0-9]")) >= 6) & (F.regexp_count(found, F.lit("[A-Za-z]")) >= 6) & ~found.rlike("^[0-9a-f]+$")
+        if kind == "opaque":
+            good = good & (F.regexp_count(found, F.lit("[0-9]")) >= least) & (F.regexp_count(found, F.lit("[A-Za-z]")) >= least) & ~found.rlike("^[0-9a-f]+$")
         span = F.struct(
             acc["at"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), (acc["at"] + F.length(found)).alias("end"), F.xxhash64(value).alias("hash")
         )
@@ -68,10 +72,10 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("repos").alias("repos"), F.count("*").alias("owners"))
 
 
-def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_id", owner: str = "source") -> DataFrame:
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_id", owner: str = "source", least: int = 6) -> DataFrame:
     """Columns ``keep`` as _k0, _k1, ... with base and all: arrays of spans, those in all with their owners."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    every = F.concat(*(_spans(text, k) for k in KINDS))
+    every = F.concat(*(_spans(text, k, least) for k in KINDS))
     rows = saved(docs.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)), F.col(repo).alias("_repo"), F.col(owner).alias("_owner"), every.alias("_every")).withColumn("_row", F.monotonically_increasing_id()))
     found = rows.where(F.size("_every") > 0).select("_row", F.col("_repo").alias("repo"), F.col("_owner").alias("owner"), F.explode("_every").alias("s"))
     stats = ownership(found.select(F.col("s.hash").alias("hash"), "repo", "owner"))
@@ -96,10 +100,11 @@ def digest(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with live-looking values masked in the text; every document stays.
 
-    Overlapping spans are masked as one. Examples that several owners share are left as they are.
+    Opaque tokens with a digit and a letter are candidates here, and the owners decide; ``digest`` keeps
+    the six of either that its SQL asks for. Overlapping spans are masked as one. Examples that several owners share are left as they are.
     """
     names = docs.columns
-    rows = scan(docs, tuple(names))
+    rows = scan(docs, tuple(names), least=1)
     whole = F.col(f"_k{names.index('text')}")
     live = F.array_sort(F.transform(F.filter("all", lambda s: s["owners"] < EXAMPLE_OWNERS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 

@@ -45,6 +45,13 @@ def test_masking_keeps_documents(documents):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a [secret] b", 2: "clean", 3: None}
 
 
+def test_masking_takes_tokens_with_few_digits(documents):
+    token, shared = "qWmZ+tRkLpXvBn/YcDsFgHjK3wQeUiOzAaSbTdEh", "ZqWmtRkLpXvBnYcDsFgHjK4wQeUiOzAaSbTdEhXx"
+    rows = [(1, f"see {token} here", "en", "a"), *((i, f"see {shared} here", "en", f"s{i}") for i in (2, 3, 4))]
+    got = {r.doc_id: r.text for r in secrets.masked(documents(rows)).collect()}
+    assert got == {1: f"see {secrets.MASK} here"} | {i: f"see {shared} here" for i in (2, 3, 4)}
+
+
 def test_no_rows(documents):
     assert secrets.digest(documents([])).count() == 0 and mixing.taken(documents([])).count() == 0 and secrets.masked(documents([])).count() == 0
 
