@@ -7,7 +7,7 @@ at per-coordinate rates; L1 keeps most weights at exactly zero, and what is left
 short table of (bucket, weight).
 
 Only training is bounded: it takes at most ``TRAIN_ROWS`` labelled rows (in order of a hash of the
-id) and the first ``TRAIN_BUCKETS`` smallest feature buckets of each, whole texts being hashed.
+id) whose buckets are ``TRAIN_TOTAL`` in all, each row with all of its own.
 Scores are of whole texts.
 
 Defined cases: a null or empty text is scored by the bias alone; labels that are null are not
@@ -29,7 +29,7 @@ from gristmill.llm.text import ALNUM_BYTES, mix, tidy, words
 from gristmill.sources.stores import saved
 
 BITS = 20
-TRAIN_ROWS, TRAIN_BUCKETS, EPOCHS = 8000, 3000, 5
+TRAIN_ROWS, TRAIN_TOTAL, EPOCHS = 8000, 24_000_000, 5
 #: Chosen by log loss on a quarter of the rows that may be learned from, of eight settings.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 5.0, 0.0
 CUT = 0.3
@@ -56,7 +56,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, buckets, row in features(batch["text"]):
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(hi - lo + 1))
-            bags += [np.unique(buckets[order[a:b]])[:TRAIN_BUCKETS].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            bags += [np.unique(buckets[order[a:b]]).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([batch["toxic"], batch["place"], pa.array(bags, pa.binary())], ["toxic", "place", "bag"])
 
 
@@ -88,7 +88,12 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     known = saved(known.orderBy("place").limit(TRAIN_ROWS))
     joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = joined.select("text", F.col("toxic").cast("int").alias("toxic"), "place").mapInArrow(tidy(_bags), "toxic int, place string, bag binary")
-    rows = sorted(rows.collect(), key=lambda r: (r["place"], r["bag"]))  # at most TRAIN_ROWS ids of TRAIN_BUCKETS numbers
+    rows = saved(rows)
+    sizes = rows.groupBy("place").agg(F.sum(F.length("bag") / 4).alias("n")).orderBy("place").collect()  # at most TRAIN_ROWS
+    taken = int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), TRAIN_TOTAL, "right"))
+    if taken < len(sizes):
+        rows = rows.where(F.col("place") <= sizes[max(taken - 1, 0)]["place"])
+    rows = sorted(rows.collect(), key=lambda r: (r["place"], r["bag"]))  # at most TRAIN_TOTAL buckets, or one id's
     if not rows:
         return None
     model, bias = Ftrl(1 << BITS), np.array([1 << BITS])

@@ -147,3 +147,14 @@ def test_names_leave_out_no_article_and_no_rest_of_the_page():
     for page, want in cases:
         assert extract(page, PLAIN | {"unseen": -0.01}) == want, page
     assert [n for _, n, _, out in tokens("<div class='box-sidebar'>a b</div>") if not out] == [0, 2, 0]
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    import pyarrow as pa
+    from gristmill.llm import toxicity
+
+    text = " ".join(f"w{i}" for i in range(3000))
+    batch = pa.RecordBatch.from_pydict({"text": [text, "a b"], "toxic": [1, 0], "place": ["x", "y"]})
+    bags = [len(b) // 4 for out in toxicity._bags(iter([batch])) for b in out["bag"].to_pylist()]
+    whole = [len(set(f.tolist())) for _, _, f, _ in toxicity.features(pa.array([text]))]
+    assert bags == [*whole, 3] and whole[0] > 8000
