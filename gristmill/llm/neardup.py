@@ -323,10 +323,23 @@ def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int
 
 
 def deduped(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document (the smallest id) of each component."""
-    gone = saved(components(docs, k, similarity).where("not kept").select("doc_id").distinct())
+    """``docs`` with one row of each component: the smallest id (null last), then the text's hash.
+
+    Rows are told apart by a key of their own, so repeated and null ids are rows like others.
+    """
+    name = "_dedup_row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    rows = saved(docs.withColumn(name, F.monotonically_increasing_id()))
+    found = components(rows.select(F.col(name).alias("doc_id"), "text"), k, similarity).select(F.col("doc_id").alias(name), F.col("component_id").alias("_component"))
+    found = saved(found)
+    several = found.where(F.col(name) != F.col("_component")).select("_component").distinct()
+    met = found.join(several, "_component").join(rows.select(name, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"), F.col(name).alias("at")).alias("_rank")), name)
+    met = saved(met.select(name, "_component", "_rank"))
+    first = met.groupBy("_component").agg(F.min("_rank").alias("_rank")).select(F.col("_rank.at").alias(name))
+    gone = saved(met.select(name).join(first, name, "left_anti"))
     few = gone.count() <= SMALL
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, name, "left_anti").select(*docs.columns)
 
 
 #: The whole operator in SQL: exact sets, exact links, components by smallest id.

@@ -75,3 +75,10 @@ def test_empty_and_dedup(documents):
 
 def test_threshold():
     assert 0 < neardup.threshold(0.8) < neardup.threshold(0.9) <= neardup.COORDS
+
+
+def test_deduped_keeps_one_row_of_each_group(documents):
+    same, other, clean, empty = (" ".join(f"{x}{i}" for i in range(40)) for x in "abce")
+    rows = [(1, same), (1, same), (2, other), (3, other), (3, clean), (None, empty), (None, empty), (None, same), (None, ""), (None, "")]
+    got = [(r.doc_id, r.text) for r in neardup.deduped(documents(rows)).collect()]
+    assert sorted(got, key=str) == sorted([(1, same), (2, other), (3, clean), (None, empty), (None, ""), (None, "")], key=str)
