@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,8 +15,10 @@ BATCH, BATCH_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is configured (tests)."""
+    """The cluster's shared folder; a local one only where driver and executors are one process."""
     folder = spark.conf.get(SETTING, None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError(f"{SETTING} must name a folder that the driver and all executors share")
     return folder or os.path.join(tempfile.gettempdir(), "gristmill-shared")
 
 
@@ -30,7 +33,21 @@ def saved(df: DataFrame) -> DataFrame:
         spark.conf.set(BATCH_SETTING, str(BATCH))
     path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._saved_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete working tables made by ``saved`` that no later plan reads; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_saved_at", None):
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,5 +57,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def drop_tables(spark: SparkSession) -> None:
     """Delete the working tables of this application; results that weren't written yet need them."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
