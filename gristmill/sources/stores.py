@@ -29,15 +29,35 @@ def saved(df: DataFrame) -> DataFrame:
     branches that use the table twice don't compute it twice.
     """
     spark = df.sparkSession
-    if not 0 < int(spark.conf.get(BATCH_SETTING, "10000")) <= BATCH:
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    was = spark.conf.get(BATCH_SETTING, "10000")
+    if not 0 < int(was) <= BATCH:
         spark.conf.set(BATCH_SETTING, str(BATCH))
-    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    finally:
+        if spark.conf.get(BATCH_SETTING, was) != was:
+            spark.conf.set(BATCH_SETTING, was)
     made = spark.read.schema(df.schema).parquet(path)
     made._saved_at = path
     return made
 
 
+def _folder(spark: SparkSession) -> str:
+    """The folder of this application's tables; it goes when the driver ends, if nobody drops it before."""
+    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}"
+    if path not in _known:
+        _known.add(path)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(where)
+        store.deleteOnExit(where)
+    return path
+
+
+_known: set[str] = set()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete working tables made by ``saved`` that no later plan reads; others are left alone."""
     for df in tables:
@@ -57,4 +77,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def drop_tables(spark: SparkSession) -> None:
     """Delete the working tables of this application; results that weren't written yet need them."""
-    _delete(spark, f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
+    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}"
+    _known.discard(path)
+    _delete(spark, path)

@@ -60,13 +60,37 @@ def test_blocks_and_elements(spark):
     assert [(p.kind, p.language, p.body.strip()) for p in parts] == [("text", "", "hi"), ("code", "py", "x=1"), ("text", "", "bye")]
 
 
-def test_entry_imports_without_the_optional_parts(tmp_path):
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_works_without_the_optional_parts(tmp_path, pipeline):
     import shutil
     import subprocess
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    shutil.copytree(f"{root}/gristmill", tmp_path / "gristmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    skip = shutil.ignore_patterns("llm", "__pycache__", ".git", "*.json", "spark-warehouse", *([] if pipeline else ["corpus_pipeline.py"]))
+    shutil.copytree(root, tmp_path / "copy", ignore=skip)
+    assert (tmp_path / "copy" / "corpus_pipeline.py").exists() == pipeline and not (tmp_path / "copy" / "tests" / "llm").exists()
     code = "import __spark_entry__ as e; n = set(e.queries()); assert n and not any(x.startswith('op') or x == 'pipeline' for x in n); assert set(e.oracle_sql()) <= n"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", check=True, env=env)
+    subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path / "copy", check=True, env=env)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from gristmill.sources import stores
+
+    made = lambda master, folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=SimpleNamespace(master=master))
+    assert stores.shared_folder(made("spark://x:7077", "s3a://b/c")) == "s3a://b/c" and stores.shared_folder(made("local[4]", None))
+    with pytest.raises(RuntimeError):
+        stores.shared_folder(made("local-cluster[3,2,1024]", None))
+
+
+def test_saved_leaves_the_session_as_it_was(spark):
+    from gristmill.sources import stores
+
+    was = spark.conf.get(stores.BATCH_SETTING)
+    made = stores.saved(spark.range(10))
+    assert spark.conf.get(stores.BATCH_SETTING) == was and made.count() == 10
+    stores.discard(made)
+    assert not os.path.exists(made._saved_at)
