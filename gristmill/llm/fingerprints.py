@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from gristmill.llm.text import buffers, mix, powers, runs, tidy
 from gristmill.sources.stores import saved
 
-SIZE, FROM = 48, 2
-#: Texts with at most so many phrases at level 1 (about 50 bytes) use that level too.
-SHORT = 16
+SIZE, FROM = 48, 1
+#: Of a text's names only those under a bound are sorted at first, so chosen that about so many times SIZE are.
+SPARE = 4
 _P = np.uint64(0xBF58476D1CE4E5B9)
 _BACK = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
 _LOWEST = np.array([0] + [(x & -x).bit_length() - 1 for x in range(1, 256)], np.uint8)
@@ -80,6 +80,26 @@ def _level(names: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.where(stop - at > 1, h, names[at]), np.searchsorted(at, rows)
 
 
+def _smallest(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The SIZE smallest distinct values of each of n rows, sorted, filled up with the largest value."""
+    out = np.full((n, SIZE), 0xFFFFFFFF, np.uint32)
+    many = np.bincount(row, minlength=n)
+    bound = np.minimum(SPARE * SIZE * 2.0**32 / np.maximum(many, 1), 2.0**32)
+    todo = values < bound[row]
+    while True:
+        keys = np.unique((row[todo].astype(np.uint64) << np.uint64(32)) | values[todo])
+        own = (keys >> np.uint64(32)).astype(np.int64)
+        place = np.arange(len(keys)) - np.searchsorted(own, np.arange(n))[own]
+        keep = place < SIZE
+        out[own[keep], place[keep]] = keys[keep].astype(np.uint32)
+        # rows with many repeats may have too few under the bound: those are taken whole
+        short = (np.bincount(own, minlength=n) < SIZE) & (bound < 2.0**32)
+        if not short.any():
+            return out
+        bound[short] = 2.0**32
+        todo = short[row]
+
+
 def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Root names, sketches (n x SIZE, sorted, filled up with the largest value) and their sizes."""
     data, offs = buffers(texts)
@@ -91,10 +111,9 @@ def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found, owner, level = [], [], 0
         while len(names):
             size = np.diff(rows)
-            if level:
+            if level >= FROM:
                 row = np.repeat(np.arange(hi - lo), size)
-                # a row's last name is its root, added below; short texts use the first level too
-                open_ = (size[row] > 1) & ((level >= FROM) | (size[row] <= SHORT))
+                open_ = size[row] > 1  # a row's last name is its root, added below
                 found.append((mix(names[open_] + np.uint64(level)) >> np.uint64(32)).astype(np.uint32))
                 owner.append(row[open_])
             if size.max() <= 1:
@@ -106,11 +125,7 @@ def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(names):
             found.append((mix(names) >> np.uint64(32)).astype(np.uint32))
             owner.append(np.flatnonzero(full))
-            keys = np.unique((np.concatenate(owner).astype(np.uint64) << np.uint64(32)) | np.concatenate(found))
-            row = (keys >> np.uint64(32)).astype(np.int64)
-            place = np.arange(len(keys)) - np.searchsorted(row, np.arange(hi - lo))[row]
-            keep = place < SIZE
-            out[lo + row[keep], place[keep]] = keys[keep].astype(np.uint32)
+            out[lo:hi] = _smallest(np.concatenate(owner), np.concatenate(found), hi - lo)
     return roots, out, (out != 0xFFFFFFFF).sum(1)
 
 

@@ -15,6 +15,13 @@ import numpy as np
 import pyarrow as pa
 
 RUN = 1 << 19
+
+
+def quoted(name: str) -> str:
+    """A column's name for an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: [^\x20\x09-\x0D]
