@@ -9,8 +9,8 @@ An embedding followed by a filter is a table of one number for each byte, filter
 window costs one matrix product of its one-hot bytes' embeddings.
 
 Only training is bounded: ``TRAIN_ROWS`` labelled documents in order of a hash of the id, dealt
-evenly over the languages as far as there are that many, and ``TRAIN_WINDOWS`` windows of each,
-spread over the whole text.
+evenly over the languages as far as there are that many (one of each at least), and of these as
+many as have ``TRAIN_BYTES`` in all, each with its whole text. Rows of one id and text are learned once.
 
 Defined cases: a null text or one without a letter is ``und`` with score 1; without any learnable
 row all are ``und`` with score 0; null languages aren't learned; null ids are not held out;
@@ -29,11 +29,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gristmill.llm.text import LOWER, buffers, runs, tidy
+from gristmill.sources.stores import saved
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 8, 4
-TRAIN_ROWS, TRAIN_WINDOWS, EPOCHS, RATE = 3000, 2, 6, 0.01
-#: Languages a model is trained for at most: the most frequent ones.
-LANGUAGES = 200
+TRAIN_ROWS, TRAIN_BYTES, EPOCHS, RATE = 1200, 6_000_000, 1, 0.01
 LONGEST = max(WIDTHS)
 
 
@@ -90,21 +89,11 @@ def windows(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(n, WINDOW), np.diff(np.minimum(np.arange(n + 1) * WINDOW, max(len(b), 1)))
 
 
-def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        data, offs = buffers(batch["text"])
-        for r in range(batch.num_rows):
-            x, _ = windows(LOWER[data[offs[r] : offs[r + 1]]])
-            out.append(x[np.unique(np.linspace(0, len(x) - 1, TRAIN_WINDOWS).astype(int))].tobytes())
-        yield pa.RecordBatch.from_arrays([batch["lang"], batch["place"], pa.array(out, pa.binary())], ["lang", "place", "x"])
-
-
 def train(docs: DataFrame, folds: int = 3, held: int = 1) -> tuple[list[str], dict[str, np.ndarray]] | None:
     """The languages and the network's parameters; None where there is nothing to learn from."""
     crc = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
     known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(crc != held, F.lit(True)))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
     if not counts:
         return None
     langs = sorted(r["lang"] for r in counts)
@@ -112,12 +101,18 @@ def train(docs: DataFrame, folds: int = 3, held: int = 1) -> tuple[list[str], di
     share = {r["lang"]: min(1.0, 1.5 * TRAIN_ROWS / len(langs) / r["n"] + 20 / r["n"]) for r in counts}
     key = F.concat_ws("|", F.lit("lang"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     thin = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.create_map(*(F.lit(v) for kv in share.items() for v in kv))[F.col("lang")]
-    picked = docs.select("doc_id", "lang", "text").where(F.col("lang").isin(langs) & F.col("text").isNotNull() & F.coalesce(crc != held, F.lit(True)) & thin)
-    rows = picked.select("lang", "text", F.md5(key).alias("place")).mapInArrow(_samples, "lang string, place string, x binary")
+    picked = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(crc != held, F.lit(True)) & thin)
+    rows = picked.select("lang", "text", F.md5(key).alias("place"), F.xxhash64("text").alias("tie")).dropDuplicates(["lang", "place", "tie"])
     each = max(1, TRAIN_ROWS // len(langs))
-    ranked = rows.withColumn("rn", F.row_number().over(W.partitionBy("lang").orderBy("place", "x"))).where(F.col("rn") <= each)
-    rows = sorted(ranked.select("lang", "place", "x").collect(), key=lambda r: (r["place"], r["x"]))  # at most TRAIN_ROWS short rows
-    x = [np.frombuffer(r["x"], np.uint8).reshape(-1, WINDOW) for r in rows]
+    ranked = rows.withColumn("rn", F.row_number().over(W.partitionBy("lang").orderBy("place", "tie"))).where(F.col("rn") <= each)
+    ranked = saved(ranked.withColumn("size", F.octet_length("text")))
+    order = ["rn", "place", "tie"]
+    sizes = ranked.select(*order, "size").orderBy(*order).collect()  # at most TRAIN_ROWS, or one of each language
+    fit = max(int(np.searchsorted(np.cumsum([r["size"] for r in sizes]), TRAIN_BYTES, "right")), len(langs))
+    last = sizes[min(fit, len(sizes)) - 1]
+    taken = ranked.where(F.struct(*order) <= F.struct(*(F.lit(last[c]) for c in order)))
+    rows = sorted(taken.select("lang", "text", *order).collect(), key=lambda r: (r["place"], r["tie"], r["lang"]))
+    x = [windows(LOWER[np.frombuffer(r["text"].encode(), np.uint8)])[0] for r in rows]
     y = np.repeat([langs.index(r["lang"]) for r in rows], [len(v) for v in x])
     x = np.concatenate(x)
     net, rng = Net(len(langs)), np.random.default_rng(11)
