@@ -7,7 +7,8 @@ at per-coordinate rates; L1 keeps most weights at exactly zero, and what is left
 short table of (bucket, weight).
 
 Only training is bounded: it takes at most ``TRAIN_ROWS`` labelled rows (in order of a hash of the
-id) whose buckets are ``TRAIN_TOTAL`` in all, each row with all of its own.
+id) whose buckets are ``TRAIN_TOTAL`` in all, each row with all of its own. Rows of one id with the same
+features are learned once.
 Scores are of whole texts.
 
 Defined cases: a null or empty text is scored by the bias alone; labels that are null are not
@@ -88,12 +89,14 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     known = saved(known.orderBy("place").limit(TRAIN_ROWS))
     joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = joined.select("text", F.col("toxic").cast("int").alias("toxic"), "place").mapInArrow(tidy(_bags), "toxic int, place string, bag binary")
-    rows = saved(rows)
-    sizes = rows.groupBy("place").agg(F.sum(F.length("bag") / 4).alias("n")).orderBy("place").collect()  # at most TRAIN_ROWS
+    rows = saved(rows.withColumn("tie", F.xxhash64("bag")).dropDuplicates(["place", "tie"]))
+    order = ["place", "tie"]
+    sizes = rows.select(*order, (F.length("bag") / 4).alias("n")).orderBy(*order).limit(TRAIN_ROWS).collect()
     taken = int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), TRAIN_TOTAL, "right"))
-    if taken < len(sizes):
-        rows = rows.where(F.col("place") <= sizes[max(taken - 1, 0)]["place"])
-    rows = sorted(rows.collect(), key=lambda r: (r["place"], r["bag"]))  # at most TRAIN_TOTAL buckets, or one id's
+    if sizes:
+        last = sizes[min(max(taken, 1), len(sizes)) - 1]
+        rows = rows.where(F.struct(*order) <= F.struct(F.lit(last["place"]), F.lit(last["tie"])))
+    rows = sorted(rows.collect(), key=lambda r: (r["place"], r["tie"]))  # at most TRAIN_ROWS rows and TRAIN_TOTAL buckets, or one row
     if not rows:
         return None
     model, bias = Ftrl(1 << BITS), np.array([1 << BITS])
@@ -139,12 +142,15 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score under ``CUT``."""
+    """The rows of ``docs`` that score under ``CUT``.
+
+    Null and empty texts have the bias's score; without any labelled row all rows stay; repeated rows stay
+    or go together; columns may have any names.
+    """
     model = train(docs, labels)
     if model is None:
         return docs
-    name = "_toxicity"
-    while name in map(str.lower, docs.columns):
-        name += "_"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(tidy(_scores(model, name)), f"{schema}, {name} double").where(F.col(name) < CUT).select(*docs.columns)
+    plain = docs.toDF(*("text" if n == "text" else f"_k{i}" for i, n in enumerate(docs.columns)))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+    made = plain.mapInArrow(tidy(_scores(model, "_toxicity")), f"{schema}, _toxicity double")
+    return made.where(F.col("_toxicity") < CUT).drop("_toxicity").toDF(*docs.columns)
