@@ -42,8 +42,8 @@ REMEMBER, WORDS = 600_000, 400_000
 PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
 #: Fixed value: the vocabulary's rule for words, and the line feed that we put between chunks.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
-#: Cut pieces that may be broadcast (about 40 bytes each); more are joined by a shuffle.
-SMALL = 200_000
+#: Bytes of cut pieces that may be broadcast; more are joined by a shuffle.
+SMALL = 8 << 20
 
 
 class Table:
@@ -321,13 +321,16 @@ def _place(rows: np.ndarray, tail: dict, sequence: int, total: int, window: int)
 
 
 def _again(vocabulary: str):
-    """Checksums of cut pieces from their texts."""
+    """Checksums of a text's cut pieces: cuts are (start, length) lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            start, length = b["start"].to_numpy(), b["length"].to_numpy()
-            crc = [checksum(ids[start[r] : start[r] + length[r]]) for r, ids in encoded(vocabulary, b["text"])]
-            yield pa.RecordBatch.from_arrays([b["piece"], b["start"], pa.array(crc, pa.int64())], ["piece", "start", "crc"])
+            cuts = b["cuts"]
+            for r, ids in encoded(vocabulary, b["text"]):
+                start, length = (cuts[r].values.field(c).to_numpy() for c in ("start", "length"))
+                crc = [checksum(ids[s : s + n]) for s, n in zip(start.tolist(), length.tolist(), strict=True)]
+                own = [b[c].take(pa.array(np.full(len(crc), r))) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "text_hash", "start", "length", "crc"])
 
     return forgetting(run)
 
@@ -347,12 +350,17 @@ def packed(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
         _place(rows, tail, sequence, total, window), "doc_id long, text_hash long, piece long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
     placed = saved(placed)
-    cut = placed.where("ids_crc32 is null").select("piece", "start", "length", F.col("doc_id").alias("_id"), "text_hash")
-    few = cut.count() <= SMALL
+    # repeated rows have the same pieces: each text is encoded once more, for all its cut pieces
+    key = ["doc_id", "text_hash"]
+    where = ["start", "length"]
+    late = placed.where("ids_crc32 is null")
+    cuts = saved(late.groupBy(*key).agg(F.collect_set(F.struct(*where)).alias("cuts")))
+    few = (cuts.agg(F.sum(32 + 16 * F.size("cuts"))).first()[0] or 0) <= SMALL
+    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "cuts")
     meet = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    cut = cut.withColumnRenamed("text_hash", "_hash")
-    found = texts.join(F.broadcast(cut) if few else cut, meet).select("piece", "start", "length", "text")
-    crcs = found.mapInArrow(_again(vocabulary), "piece long, start long, crc long").groupBy("piece", "start").agg(F.first("crc").alias("crc"))
+    found = texts.join(F.broadcast(cuts) if few else cuts, meet).select(*key, "text", "cuts").dropDuplicates(key)
+    crcs = found.mapInArrow(_again(vocabulary), "doc_id long, text_hash long, start long, length long, crc long")
+    crcs = crcs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("start").alias("_start"), F.col("length").alias("_length"), "crc")
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    mended = placed.where("ids_crc32 is null").drop("ids_crc32").join(crcs, ["piece", "start"]).withColumnRenamed("crc", "ids_crc32")
+    mended = late.drop("ids_crc32").join(crcs, meet & (F.col("start") == F.col("_start")) & (F.col("length") == F.col("_length"))).withColumnRenamed("crc", "ids_crc32")
     return placed.where("ids_crc32 is not null").select(*out).unionByName(mended.select(*out))

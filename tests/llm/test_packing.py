@@ -45,6 +45,18 @@ def test_one_length_only(documents):
     assert packing.packed(documents([]), VOCAB).count() == 0
 
 
+def test_repeated_rows_are_encoded_once_more_each(documents):
+    rows = [(1, "a " * 2999)] * 30 + [(2, "b " * 2999)] * 3 + [(1, "b c " * 2000)]
+    got = packing.packed(documents(rows), VOCAB).collect()
+    assert sum(r.length for r in got) == 33 * 3000 + 4001
+    t = Tokenizer.from_file(VOCAB)
+    for i, x in set(rows):
+        a = np.array([*t.encode(x, add_special_tokens=False).ids, 2], "<u4")
+        own = [r for r in got if r.doc_id == i and r.doc_tokens == len(a)]
+        assert sum(r.length for r in own) == len(a) * rows.count((i, x))
+        assert all(r.ids_crc32 == zlib.crc32(a[r.start : r.start + r.length].tobytes()) for r in own)
+
+
 def test_fill_is_the_closest_subset_sum():
     rng = random.Random(1)
     for _ in range(200):
