@@ -3,8 +3,8 @@ r"""Secret scan with corpus-wide ownership frequency, in DataFrame functions onl
 Three base patterns are searched in each whole text. A fourth, wider pattern takes long opaque
 tokens that no keyword announces; whether such a token counts is for the corpus to say: candidate
 values are hashed and aggregated by distinct repositories and owners (here: documents and
-sources). A value seen with several owners is a widely copied example; one kept by a single owner
-or two is live-looking. Base spans always stay and are told apart by ``n_live`` and ``n_example``;
+sources). A value seen with several owners, or in very many repositories of one or two, is a widely
+copied example; one that one or two owners keep in a few places is live-looking. Base spans always stay and are told apart by ``n_live`` and ``n_example``;
 an opaque token is reported only if it is live-looking. In ``digest`` opaque tokens have six digits
 and six letters at least, as its SQL says; ``masked`` takes all with a digit and a letter.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.llm.text import quoted
 from gristmill.sources.stores import saved
 
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,8 +29,8 @@ ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee]
 PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}", "opaque": r"[A-Za-z0-9+/_-]{32,}"}
 KINDS = list(PATTERNS)
 BASE = KINDS[:3]
-#: A value with at least so many owners is an example that people copy.
-EXAMPLE_OWNERS = 3
+#: A value with at least so many owners, or in so many repositories, is an example that people copy.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 20
 MASK = "[secret]"
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint>>"
 
@@ -66,6 +67,10 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _live(owners: Column, repos: Column) -> Column:
+    return (owners < EXAMPLE_OWNERS) & (repos < EXAMPLE_REPOS)
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, repos, owners) from (hash, repo, owner): distinct pairs first, so no group is gathered."""
     by_owner = found.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one")).groupBy("hash", "owner").agg(F.count("*").alias("repos"))
@@ -76,10 +81,10 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_
     """Columns ``keep`` as _k0, _k1, ... with base and all: arrays of spans, those in all with their owners."""
     text = F.coalesce(F.col("text"), F.lit(""))
     every = F.concat(*(_spans(text, k, least) for k in KINDS))
-    rows = saved(docs.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)), F.col(repo).alias("_repo"), F.col(owner).alias("_owner"), every.alias("_every")).withColumn("_row", F.monotonically_increasing_id()))
+    rows = saved(docs.select(*(F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keep)), F.col(repo).alias("_repo"), F.col(owner).alias("_owner"), every.alias("_every")).withColumn("_row", F.monotonically_increasing_id()))
     found = rows.where(F.size("_every") > 0).select("_row", F.col("_repo").alias("repo"), F.col("_owner").alias("owner"), F.explode("_every").alias("s"))
     stats = ownership(found.select(F.col("s.hash").alias("hash"), "repo", "owner"))
-    known = found.select("_row", "s").join(stats, F.col("s.hash") == F.col("hash")).where(F.col("s.kind").isin(BASE) | (F.col("owners") < EXAMPLE_OWNERS))
+    known = found.select("_row", "s").join(stats, F.col("s.hash") == F.col("hash")).where(F.col("s.kind").isin(BASE) | _live(F.col("owners"), F.col("repos")))
     span = F.struct("s.start", "s.rank", "s.kind", "s.end", "s.hash", "repos", "owners")
     per = known.groupBy("_row").agg(F.collect_list(span).alias("all"))
     base = F.filter("_every", lambda s: s["kind"].isin(BASE)).alias("base")
@@ -90,7 +95,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), repo: str = "doc_
 def digest(docs: DataFrame) -> DataFrame:
     found = scan(docs)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    live = lambda s: s["owners"] < EXAMPLE_OWNERS
+    live = lambda s: _live(s["owners"], s["repos"])
     return found.select(
         F.col("_k0").alias("doc_id"), *map(count, BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"),
         F.size(F.filter("all", live)).cast("long").alias("n_live"), F.size(F.filter("all", lambda s: ~live(s))).cast("long").alias("n_example"),
@@ -102,11 +107,12 @@ def masked(docs: DataFrame) -> DataFrame:
 
     Opaque tokens with a digit and a letter are candidates here, and the owners decide; ``digest`` keeps
     the six of either that its SQL asks for. Overlapping spans are masked as one. Examples that several owners share are left as they are.
+    Null texts stay null; repeated rows stay; columns may have any names.
     """
     names = docs.columns
     rows = scan(docs, tuple(names), least=1)
     whole = F.col(f"_k{names.index('text')}")
-    live = F.array_sort(F.transform(F.filter("all", lambda s: s["owners"] < EXAMPLE_OWNERS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    live = F.array_sort(F.transform(F.filter("all", lambda s: _live(s["owners"], s["repos"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substring(whole, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
@@ -137,11 +143,11 @@ m AS MATERIALIZED (SELECT r, s.start AS st, s.start + len(s.txt) AS en, s.kind A
   FROM (SELECT r, unnest(got) AS s FROM ({parts}))),
 c AS MATERIALIZED (SELECT m.*, d.doc_id, d.source FROM m JOIN d USING (r) WHERE CASE kind WHEN 'assign' THEN len(val) >= 6
   WHEN 'opaque' THEN len(regexp_extract_all(val, '[0-9]')) >= 6 AND len(regexp_extract_all(val, '[A-Za-z]')) >= 6 AND NOT regexp_matches(val, '^[0-9a-f]+$') ELSE true END),
-o AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) AS owners FROM c GROUP BY val),
-k AS (SELECT c.*, o.owners FROM c JOIN o USING (val) WHERE rk < 3 OR owners < {EXAMPLE_OWNERS}),
+o AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT {{'source': source, 'doc_id': doc_id}}) AS repos FROM c GROUP BY val),
+k AS (SELECT c.*, owners < {EXAMPLE_OWNERS} AND repos < {EXAMPLE_REPOS} AS live FROM c JOIN o USING (val) WHERE rk < 3 OR (owners < {EXAMPLE_OWNERS} AND repos < {EXAMPLE_REPOS})),
 g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   sha256(coalesce(string_agg(kind || ':' || st || ':' || en, ',' ORDER BY st, rk) FILTER (rk < 3), '')) AS base_sha256,
-  string_agg(kind || ':' || st || ':' || en, ',' ORDER BY st, rk) AS spans, count(*) FILTER (owners < {EXAMPLE_OWNERS}) AS n_live, count(*) FILTER (owners >= {EXAMPLE_OWNERS}) AS n_example
+  string_agg(kind || ':' || st || ':' || en, ',' ORDER BY st, rk) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
   FROM k GROUP BY r)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(base_sha256, sha256('')) AS base_sha256,
   coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example

@@ -38,6 +38,12 @@ def test_opaque_needs_few_owners(documents):
     assert all(r.spans == "" for r in many) and all(r.spans == "opaque:0:32" and r.n_live == 1 for r in one)
 
 
+def test_opaque_in_many_repositories_is_an_example(documents):
+    value = "Q1w2E3r4T5y6U7i8O9p0A1s2D3f4G5h6"
+    got = secrets.digest(documents([(i, value, "en", "s") for i in range(secrets.EXAMPLE_REPOS)])).collect()
+    assert all(r.spans == "" for r in got)
+
+
 def test_masking_keeps_documents(documents):
     df = documents([(1, "a token=abcdef0123456789abcdef0123456789 b", "en", "s"), (2, "clean", "en", "s"), (3, None, "en", "s")])
     out = secrets.masked(df)
