@@ -8,7 +8,7 @@ an article are left out of the run as well, unless they hold the article.
 Weights come from pages that label themselves: exactly one ``article`` (else ``main``) element
 marks what is inside. They start as log-odds of being inside and are then mended by a structured
 perceptron until the best run is the marked one. Training is bounded to ``TRAIN_PAGES`` pages in
-order of a hash of the id; without any labelled page ``PLAIN`` weights hold.
+order of a hash of the id and the page (repeated rows are learned from once); without any labelled page ``PLAIN`` weights hold.
 
 Defined cases: null html is empty and gives the empty text; unclosed elements end with the page;
 repeated rows are extracted each; an empty table gives an empty result; extra columns don't matter.
@@ -50,7 +50,7 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"
 _ENDS |= {n: {"td", "th", "tr", "thead", "tbody", "tfoot"} for n in ("thead", "tbody", "tfoot")} | {n: {"p"} for n in _BLOCK}
 _SCOPES = {n: {"table"} for n in ("td", "th", "tr", "thead", "tbody", "tfoot")} | {n: set("ul ol menu dl table td th select".split()) for n in ("li", "dt", "dd", "option")}
 _P_SCOPE = set("table td th caption button object".split())
-_DROP = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<({HIDDEN.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>")
+_DROP = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<({HIDDEN.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
 
 
@@ -242,10 +242,11 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trained(pages: DataFrame) -> dict[str, float]:
     own = pages.select("page_id", "html").where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    place = F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    picked = saved(own.select("page_id").distinct().withColumn("place", place).orderBy("place", "page_id").limit(TRAIN_PAGES))
+    place = F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.xxhash64("html").cast("string")))
+    own = own.select(place.alias("place"), "html")
+    picked = saved(own.select("place").distinct().orderBy("place").limit(TRAIN_PAGES))
     kind = "place string, keys array<string>, counts array<int>"
-    rows = own.join(F.broadcast(picked), "page_id").select("place", "html").mapInArrow(_tokens, kind).collect()  # at most TRAIN_PAGES ids
+    rows = own.join(F.broadcast(picked), "place").dropDuplicates(["place"]).mapInArrow(_tokens, kind).collect()  # at most TRAIN_PAGES
     rows = sorted(rows, key=lambda r: (r["place"], r["keys"]))
     return learn([list(zip(r["keys"], r["counts"], strict=True)) for r in rows])
 
