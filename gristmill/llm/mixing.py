@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gristmill.llm.text import quoted
 from gristmill.sources.stores import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,9 +64,9 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -
 def copies(docs: DataFrame, keep: list[str], seed: str = SEED, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
     """Columns ``keep`` of ``docs`` as _k0, _k1, ... with _size, source_size, target, copies."""
     own = [f"_k{i}" for i in range(len(keep))]
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("string"), "text", F.lit(""))
     narrow = docs.select(
-        *(F.col(k).alias(n) for k, n in zip(keep, own, strict=True)), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), n_words(F.col("text")).alias("_size"), F.substring(F.md5(key), 1, 2).alias("_bucket")
+        *(F.col(quoted(k)).alias(n) for k, n in zip(keep, own, strict=True)), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_tie"), F.col("source").alias("_source"), n_words(F.col("text")).alias("_size"), F.substring(F.md5(key), 1, 2).alias("_bucket")
     )
     if keep == ["doc_id"]:
         narrow = saved(narrow)
@@ -78,7 +79,7 @@ def copies(docs: DataFrame, keep: list[str], seed: str = SEED, weights: tuple =
     inner = buckets.select("*", upto("_source", "_size", "_bucket").alias("inner"))
     before = inner.join(outer, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
     before = before.select(F.col("_source").alias("_s"), F.col("_size").alias("_z"), F.col("_bucket").alias("_b"), (F.col("outer") + F.col("inner")).alias("_before"), "source_size", "target")
-    within = F.row_number().over(W.partitionBy("_source", "_size", "_bucket").orderBy("_id"))
+    within = F.row_number().over(W.partitionBy("_source", "_size", "_bucket").orderBy("_id", "_tie"))
     ranked = narrow.withColumn("_rank", within).join(before, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")) & (F.col("_bucket") == F.col("_b")))
     rank = F.col("_before") + F.col("_rank")
     width = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -88,7 +89,11 @@ def copies(docs: DataFrame, keep: list[str], seed: str = SEED, weights: tuple =
 
 
 def mixed(docs: DataFrame, seed: str = SEED, weights: tuple = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself: each document once for each copy, with the columns of ``docs``."""
+    """The mix itself: each document once for each copy, with the columns of ``docs``.
+
+    Rows of one id and size are told apart by their text, and repeated rows are the same whichever is
+    taken, so reruns agree. Documents without a word have size 0 and width like others of their source.
+    """
     names = docs.columns
     made = copies(docs, names, seed, weights, cap).where("copies > 0")
     every = made.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
@@ -103,7 +108,7 @@ def taken(docs: DataFrame) -> DataFrame:
 TAKEN_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2) AS bucket
+         substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 2) AS bucket
   FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s0),

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import distinct, mix, powers, shingles, tidy, words
+from gristmill.llm.text import distinct, mix, powers, quoted, shingles, tidy, words
 from gristmill.operators.graph import connected_components
 from gristmill.sources.stores import saved
 
@@ -325,7 +325,8 @@ def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int
 def deduped(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (null last), then the text's hash.
 
-    Rows are told apart by a key of their own, so repeated and null ids are rows like others.
+    Rows are told apart by a key of their own, so repeated and null ids are rows like others. Null and
+    blank texts are in no group and stay; columns may have any names.
     """
     name = "_dedup_row"
     while name in map(str.lower, docs.columns):
@@ -339,7 +340,7 @@ def deduped(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     first = met.groupBy("_component").agg(F.min("_rank").alias("_rank")).select(F.col("_rank.at").alias(name))
     gone = saved(met.select(name).join(first, name, "left_anti"))
     few = gone.count() <= SMALL
-    return rows.join(F.broadcast(gone) if few else gone, name, "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, name, "left_anti").select(*map(quoted, docs.columns))
 
 
 #: The whole operator in SQL: exact sets, exact links, components by smallest id.

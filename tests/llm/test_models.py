@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gristmill.llm import language, toxicity
@@ -100,6 +102,74 @@ PAGE = (
 )
 
 
+def test_ftrl_equals_plain_steps():
+    rng = random.Random(4)
+    rows = [([rng.randrange(30) for _ in range(6)], float(rng.random() < 0.4)) for _ in range(300)]
+    model, z, n = toxicity.Ftrl(30), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - math.copysign(toxicity.L1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for at, label in rows:
+        at = [*sorted(set(at)), 30]
+        model.learn(np.array(at), label)
+        own = [weight(i) for i in at]
+        g = 1 / (1 + math.exp(-sum(own))) - label
+        for i, w in zip(at, own, strict=True):
+            had = n.get(i, 0.0)
+            z[i] = z.get(i, 0.0) + g - (math.sqrt(had + g * g) - math.sqrt(had)) / toxicity.ALPHA * w
+            n[i] = had + g * g
+    assert np.allclose(model.weights(np.arange(31)), [weight(i) for i in range(31)])
+    assert 0 < np.count_nonzero(model.weights(np.arange(30))) <= 30
+
+
+def test_scores_are_sums_over_distinct_features():
+    texts_ = ["Alpha beta alpha beta gamma", "", None, "beta! gamma?"]
+    bags = [set(f[row == i].tolist()) for lo, hi, f, row in toxicity.features(pa.array(texts_)) for i in range(hi - lo)]
+    assert [len(b) for b in bags] == [3 + 3 + 3, 0, 0, 2 + 1]  # words, pairs, pairs but one
+    rng = np.random.default_rng(5)
+    known = np.array(sorted(set().union(*bags)), np.int32)
+    w = rng.normal(0, 1, len(known))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": texts_})
+    got = next(toxicity._scores((known, w, 0.25))(iter([batch])))["score"].to_pylist()
+    by = dict(zip(known.tolist(), w.tolist(), strict=True))
+    assert np.allclose(got, [1 / (1 + math.exp(-0.25 - sum(by[f] for f in b))) for b in bags])
+
+
+def test_network_equals_a_plain_pass():
+    rng = np.random.default_rng(6)
+    net = language.Net(3)
+    net.p = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) for k, v in net.p.items()}
+    net.p["f"] *= net.mask
+    text = "Ünïcode and Some words, " * 40
+    data = text.encode().translate(bytes(language.LOWER.tolist()))
+    mean, size = np.zeros(3), 0
+    for lo in range(0, len(data), language.WINDOW):
+        b = data[lo : lo + language.WINDOW].ljust(language.WINDOW)
+        act = []
+        for k in range(language.FILTERS * len(language.WIDTHS)):
+            wide = language.WIDTHS[k // language.FILTERS]
+            f = net.p["f"][:, k].reshape(language.LONGEST, language.DIM)
+            places = range(language.WINDOW - language.LONGEST + 1)
+            act.append(max(0.0, max(sum(float(net.p["e"][b[i + j]] @ f[j]) for j in range(wide)) for i in places) + float(net.p["b"][k])))
+        z = np.array(act) @ net.p["w"] + net.p["c"]
+        n = min(language.WINDOW, len(data) - lo)
+        mean, size = mean + n * (z - np.log(np.exp(z).sum())), size + n
+    p = np.exp(mean / size) / np.exp(mean / size).sum()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    got = next(language._predict(["a", "b", "c"], net.p)(iter([batch])))
+    assert got["lang_pred"].to_pylist() == ["abc"[int(p.argmax())]] and abs(got["score"][0].as_py() - p.max()) < 1e-4
+
+
+def test_all_languages_are_learned(documents):
+    """However many there are and however rare they are."""
+    rows = [(i, " ".join(chr(97 + i % 26) * 3 + chr(97 + (i * 7) % 26) for _ in range(9)), f"l{i:03d}") for i in range(230)]
+    langs, _ = language.train(documents(rows), 3, 5)
+    assert langs == sorted(r[2] for r in rows)
+
+
 def test_page_text():
     weights = learn([[(k, n) for k, n, _, _ in tokens(PAGE)]] * 3)
     assert extract(PAGE, weights) == "Big & title First bold text. More Short. Last <b> words here."
@@ -142,6 +212,9 @@ def test_names_leave_out_no_article_and_no_rest_of_the_page():
         (f"<article><ul><li class='nav'>menu<li>{body}<li>last</ul></article>", story + " last"),
         (f"<article><table><tr><td class='ad'>buy<td>{body}</table></article>", story),
         (f"<article><p>{body}</p><div class='wide ad'>buy</div></article>", story),
+        (f"<article><svg class='i'/><p>{body}</p><svg><text>no</text></svg></article>", story),
+        (f"<div class='post hentry comments-open'><article><p>{body}</p></article></div>", story),
+        (f"<form id='aspnetForm'><div><p>{body}</p></div></form>", story),
         (f"<article><p>{body}</p><div class='ad'>buy <b>now</b></div><p>the end of it all</p></article>", story + " the end of it all"),
     ]
     for page, want in cases:
@@ -150,9 +223,6 @@ def test_names_leave_out_no_article_and_no_rest_of_the_page():
 
 
 def test_toxicity_learns_from_whole_texts(spark):
-    import pyarrow as pa
-    from gristmill.llm import toxicity
-
     text = " ".join(f"w{i}" for i in range(3000))
     batch = pa.RecordBatch.from_pydict({"text": [text, "a b"], "toxic": [1, 0], "place": ["x", "y"]})
     bags = [len(b) // 4 for out in toxicity._bags(iter([batch])) for b in out["bag"].to_pylist()]
