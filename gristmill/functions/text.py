@@ -21,8 +21,11 @@ def _nfc(texts: pa.Array) -> pa.Array:
 
 
 def nfc(text: Column) -> Column:
-    """NFC form; only texts with a character outside ASCII are sent to Python."""
-    made = F.arrow_udf(_nfc, StringType())
+    """NFC form; only texts with a character outside ASCII are sent to Python.
+
+    It is called nondeterministic so that no filter on its result is pushed below it and makes it run twice.
+    """
+    made = F.arrow_udf(_nfc, StringType()).asNondeterministic()
     return F.coalesce(made(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
@@ -75,7 +78,7 @@ def segments(text: Column) -> Column:
 def extension_type(path: Column) -> Column:
     """Image type by the file name's last suffix, else null."""
     #: The formats that a record may have.
-    kinds = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "webp": "image/webp"}
+    kinds = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png"}
     suffix = F.lower(F.regexp_extract(path, r"\.([^./\\]+)$", 1))
     return F.create_map(*(F.lit(x) for kv in kinds.items() for x in kv))[suffix]
 

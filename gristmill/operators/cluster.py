@@ -43,9 +43,15 @@ def embed_pending(df: DataFrame, done: DataFrame, key: str, text: str, model: Ca
     return embedded(df.join(done.select(F.col("id").alias(key)), key, "left_anti"), key, text, model, dim)
 
 
-def with_vectors(records: DataFrame, vectors: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Records with their vectors, and the number of records without one."""
-    return records.join(vectors, key), records.join(vectors, key, "left_anti").agg(F.count("*").alias("missing"))
+def with_vectors(records: DataFrame, vectors: DataFrame, key: str, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records with their vectors, and the number of records without one.
+
+    Of several vectors of one key the last by ``order`` counts (without it, the largest row).
+    """
+    rest = [c for c in vectors.columns if c != key]
+    row = F.struct(*rest)
+    last = vectors.groupBy(key).agg((F.max_by(row, order) if order else F.max(row)).alias("_v")).select(key, *(F.col(f"_v.{c}").alias(c) for c in rest if c != order))
+    return records.join(last, key), records.join(last, key, "left_anti").agg(F.count("*").alias("missing"))
 
 
 def centroids(df: DataFrame, by: list[str], vector: str = "embedding") -> DataFrame:

@@ -10,13 +10,15 @@ from gristmill.functions.text import extension_type, strip
 
 #: The mark of an image and of the instruction in a raw prompt; formats and prompts that a record may have.
 IMAGE, MARK = "<image>", "Instruction:"
-FORMATS = ["image/jpeg", "image/png", "image/webp"]
+FORMATS = ["image/jpeg", "image/png"]
 PROMPTS = {"sft": [""], "pretrain": ["", ""]}
+#: Fixed value: what follows the instruction's mark in a raw prompt.
+TAIL = r'(?s)Instruction:\s*"?(.*?)"?\s*$'
 
 
 def user_text(prompt: Column) -> Column:
     """What follows the mark, without white space and quotes around it; null if nothing is left."""
-    tail = F.regexp_extract(prompt, r'(?s)Instruction:\s*"?(.*?)"?\s*$', 1)
+    tail = F.regexp_extract(prompt, TAIL, 1)
     bare = strip(F.regexp_replace(strip(tail), '^"+|"+$', ""))
     return F.when(prompt.contains(MARK), F.nullif(bare, F.lit("")))
 

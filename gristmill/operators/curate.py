@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import MIN_LENGTH, clean_text
+from gristmill.sources.stores import saved
 
 
 def cleaned(df: DataFrame, text: str = "text") -> DataFrame:
@@ -28,13 +29,17 @@ def clean_stats(df: DataFrame, text: str = "text") -> DataFrame:
 def exact_dedup(df: DataFrame, text: str, priority: Column, seq: str) -> DataFrame:
     """One row of each text: the one of the best (lowest) priority, at the place of the first.
 
-    Columns of ``df`` with ``position`` and ``replaced``. A hashed key carries the rows, texts are
-    aggregated with partial sums, and a text that many rows share is no hot spot.
+    Columns of ``df`` with ``position``, ``copies`` and ``replaced``; ``seq`` is unique. Rows are written once with
+    the hash of their text; groups are made of hash, priority and order alone, with partial sums, so no
+    text is sorted or compared and one that many rows share is no hot spot. The winners are then joined
+    back by their order.
     """
-    row = F.struct(*(F.col(c) for c in df.columns))
-    order = F.struct(priority.alias("priority"), F.col(seq).alias("seq"))
-    groups = df.groupBy(F.col(text).alias("_text")).agg(F.min_by(row, order).alias("_row"), F.min(seq).alias("position"), F.count("*").alias("copies"))
-    return groups.select("_row.*", "position", "copies", (F.col(f"_row.{seq}") != F.col("position")).alias("replaced"))
+    best = F.struct(F.col("_priority").alias("priority"), F.col(seq).alias("seq"))
+    rows = saved(df.withColumns({"_text": F.unhex(F.sha2(F.col(text), 256)), "_priority": priority}))
+    groups = rows.groupBy("_text").agg(F.min(best).alias("_best"), F.min(seq).alias("position"), F.count("*").alias("copies"))
+    groups = groups.select(F.col("_best.seq").alias("_seq"), "position", "copies")
+    out = rows.join(groups, F.col(seq) == F.col("_seq"))
+    return out.select(*df.columns, "position", "copies", (F.col(seq) != F.col("position")).alias("replaced"))
 
 
 def exact_dedup_stats(df: DataFrame, text: str, priority: Column, seq: str) -> DataFrame:

@@ -7,11 +7,13 @@ every one of their bands, and all rows that share a band with one of those.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ PERMUTATIONS, WIDTH = 128, 5
 PRIME = (1 << 31) - 1
 #: Undecided rows that are finished on the driver (band keys only).
 FINISH = 20_000
+#: Bytes of texts that are worked on at once, so that temporaries stay in cache.
+BLOCK = 1 << 16
 
 
 @lru_cache
@@ -41,15 +45,47 @@ def byte_shingles(text: str, width: int = WIDTH) -> np.ndarray:
     return np.unique(v)
 
 
-def signature(text: str, n: int = PERMUTATIONS) -> np.ndarray:
-    a, b = family(n)
-    h = byte_shingles(text) % PRIME
-    out = np.full(n, PRIME, np.int64)
-    for lo in range(0, len(h), 4096):
-        out = np.minimum(out, ((a[:, None] * h[None, lo : lo + 4096] + b[:, None]) % PRIME).min(1))
+def flat_signatures(texts: pa.Array, n: int = PERMUTATIONS) -> np.ndarray:
+    """The signatures of a column of texts, in runs of about BLOCK bytes; null counts as empty."""
+    texts = texts.fill_null("").cast(pa.large_binary())
+    offs = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy())))
+    data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
+    a, b = (x.astype(np.uint64) for x in family(n))
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    out, lo = np.zeros((len(texts), n), np.int64), 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + BLOCK, "right")) - 1)
+        size = np.diff(offs[lo : hi + 1])
+        made = np.maximum(size - WIDTH + 1, 1)
+        at = np.concatenate(([0], np.cumsum(made)))[:-1]
+        x = data[offs[lo] : offs[hi]].astype(np.uint64)
+        runs = max(len(x) - WIDTH + 1, 0)
+        v = np.zeros(runs, np.uint64)
+        for i in range(WIDTH):
+            v = (v << np.uint64(8)) | x[i : runs + i]
+        spot = np.repeat(offs[lo:hi] - offs[lo] - at, made) + np.arange(made.sum())
+        h = v[np.minimum(spot, runs - 1)] if runs else np.zeros(len(spot), np.uint64)
+        for r in np.flatnonzero(size < WIDTH):
+            h[at[r]] = int.from_bytes(data[offs[lo + r] : offs[lo + r + 1]].tobytes(), "big")
+        h %= p
+        # modulo 2^31 - 1: the halves' sum is under twice the prime, and the smaller of it and it less the prime is right
+        y, z = np.empty_like(h), np.empty_like(h)
+        for k in range(n):
+            np.multiply(h, a[k], out=y)
+            np.add(y, b[k], out=y)
+            np.right_shift(y, bits, out=z)
+            np.bitwise_and(y, p, out=y)
+            np.add(y, z, out=y)
+            np.subtract(y, p, out=z)
+            out[lo:hi, k] = np.minimum.reduceat(np.minimum(y, z, out=y), at)
+        lo = hi
     return out
 
 
+def signature(text: str, n: int = PERMUTATIONS) -> np.ndarray:
+    return flat_signatures(pa.array([text]), n)[0]
+
+
 @lru_cache
 def bands(threshold: float, n: int = PERMUTATIONS, weight: float = 0.5) -> tuple[int, int]:
     """(bands, rows) with the least weighted false-positive and false-negative area."""
@@ -66,8 +102,9 @@ def bands(threshold: float, n: int = PERMUTATIONS, weight: float = 0.5) -> tuple
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [signature(t or "").tolist() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["seq"], pa.array(made, pa.list_(pa.int64()))], ["seq", "sig"])
+        made = flat_signatures(batch["text"])
+        ends = pa.array(np.arange(0, made.size + 1, made.shape[1]), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch["seq"], pa.ListArray.from_arrays(ends, pa.array(made.ravel()))], ["seq", "sig"])
 
 
 def signatures(df: DataFrame, seq: str, text: str) -> DataFrame:
@@ -81,26 +118,50 @@ def band_keys(df: DataFrame, seq: str, text: str, threshold: float) -> DataFrame
     return signatures(df, seq, text).select("seq", F.explode(F.array(*keys)).alias("x")).select("seq", "x.band", "x.key")
 
 
-def greedy(keys: DataFrame, finish: int = FINISH, rounds: int = 1000) -> DataFrame:
-    """(seq) of the kept rows, from (seq, band, key)."""
-    left = saved(keys)
+def _domain_keys(thresholds: dict[str, float], default: float):
+    """(seq, band, a, b): 128-bit keys of the bands of each row's own threshold; the domain is part of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seq, sig = batch["seq"].to_numpy(), flat_signatures(batch["text"]).astype(np.uint64)
+            domains = batch["domain"].to_pylist()
+            own = np.array([thresholds.get(d, default) for d in domains])
+            names = {d: np.frombuffer(hashlib.blake2b(repr((d, thresholds.get(d, default))).encode(), digest_size=16).digest(), np.uint64) for d in set(domains)}
+            salt = np.array([names[d] for d in domains]).reshape(-1, 2)
+            for t in np.unique(own).tolist():
+                at = np.flatnonzero(own == t)
+                number, rows = bands(t)
+                for i in range(number):
+                    keys = []
+                    for half in (0, 1):
+                        key = salt[at, half]
+                        for c in range(i * rows, (i + 1) * rows):
+                            key = (key ^ sig[at, c]) * np.uint64(0x9E3779B97F4A7C15 if half else 0xC2B2AE3D27D4EB4F)
+                            key ^= key >> np.uint64(29)
+                        keys.append(pa.array(key.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(seq[at]), pa.array(np.full(len(at), i, np.int32)), *keys], ["seq", "band", "a", "b"])
+
+    return run
+
+
+def greedy(keys: DataFrame, finish: int = FINISH) -> DataFrame:
+    """(seq) of the kept rows, from (seq, ...): rows with equal values in all other columns share a band.
+
+    Each round settles the first row that is left at least, so it ends.
+    """
+    left, by = saved(keys), [c for c in keys.columns if c != "seq"]
     kept = []
-    for _ in range(rounds):
-        rows = left.select("seq").distinct().count()
-        if not rows:
-            break
+    while rows := left.select("seq").distinct().count():
         if rows <= finish:
             kept.append(_finished(left))
             break
-        lead = left.groupBy("band", "key").agg(F.min("seq").alias("lead"))
-        marked = left.join(lead, ["band", "key"])
+        lead = left.groupBy(*by).agg(F.min("seq").alias("lead"))
+        marked = left.join(lead, by)
         now = saved(marked.groupBy("seq").agg(F.min((F.col("lead") == F.col("seq")).cast("int")).alias("all")).where(F.col("all") == 1).select("seq"))
-        taken = left.join(now, "seq", "left_semi").select("band", "key").distinct()
-        gone = left.join(taken, ["band", "key"], "left_semi").select("seq").distinct()  # holds the kept rows too
+        taken = left.join(now, "seq", "left_semi").select(*by).distinct()
+        gone = left.join(taken, by, "left_semi").select("seq").distinct()  # holds the kept rows too
         kept.append(now)
         left = saved(left.join(gone, "seq", "left_anti"))
-    else:
-        raise RuntimeError(f"near-dedup did not settle in {rounds} rounds")
     out = keys.select("seq").limit(0) if not kept else kept[0]
     for part in kept[1:]:
         out = out.union(part)
@@ -111,7 +172,7 @@ def _finished(left: DataFrame) -> DataFrame:
     """The sequential rule for a few rows: at most FINISH times the number of bands."""
     rows: dict[int, list] = {}
     for r in left.collect():
-        rows.setdefault(r["seq"], []).append((r["band"], r["key"]))
+        rows.setdefault(r["seq"], []).append(tuple(r[c] for c in left.columns if c != "seq"))
     seen: set = set()
     kept = []
     for seq in sorted(rows):
@@ -122,16 +183,10 @@ def _finished(left: DataFrame) -> DataFrame:
 
 
 def near_dedup(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict[str, float], default: float = 0.8, finish: int = FINISH) -> DataFrame:
-    """Rows of ``df`` that survive, each domain for itself; domains that aren't named get the default."""
-    groups: dict[float, list[str]] = {}
-    for name, t in thresholds.items():
-        groups.setdefault(t, []).append(name)
-    named = F.coalesce(F.col(domain).isin(list(thresholds)), F.lit(False))
-    parts = [(t, F.col(domain).isin(names)) for t, names in groups.items()] + [(default, ~named)]
-    keys = None
-    for t, which in parts:
-        own = df.where(which)
-        k = band_keys(own, seq, text, t).join(own.select(F.col(seq).alias("seq"), F.col(domain).alias("_domain")), "seq")
-        k = k.withColumn("key", F.concat_ws("|", F.lit(str(t)), F.coalesce("_domain", F.lit("")), "key")).drop("_domain")
-        keys = k if keys is None else keys.union(k)
+    """Rows of ``df`` that survive, each domain for itself; domains that aren't named get the default.
+
+    One pass over the texts gives the keys of all domains; null texts count as empty ones.
+    """
+    own = df.select(F.col(seq).alias("seq"), F.col(text).alias("text"), F.col(domain).alias("domain"))
+    keys = own.mapInArrow(_domain_keys(thresholds, default), f"seq {own.schema['seq'].dataType.simpleString()}, band int, a long, b long")
     return df.join(greedy(keys, finish).withColumnRenamed("seq", seq), seq, "left_semi")

@@ -31,6 +31,7 @@ class Config:
     bottom: float = 0.10
     filtered: list[str] = field(default_factory=lambda: ["stage1_icon"])
     dim: int = 256
+    embed_shards: int = 8
     clusters: dict[str, int] = field(default_factory=dict)
     default_clusters: int = 1000
     pool_size: int = 1_000_000
@@ -86,11 +87,21 @@ class Run:
     def svg_filter(self) -> DataFrame:
         return curate.complexity_filter(self.read("dedup_near"), "domain", "svg_len", self.config.bottom, self.config.filtered)
 
-    def embed(self) -> DataFrame:
-        return cluster.embedded(self.read("svg_filter"), "id", "instruction", self.model, self.config.dim)
+    def embed(self, shard: int = 0, shards: int = 1) -> DataFrame:
+        own = self.read("svg_filter").where(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard)
+        return cluster.embedded(own, "id", "instruction", self.model, self.config.dim)
+
+    def write_embeddings(self, resume: bool) -> None:
+        """Shards by a hash of the id, a folder each; on resume those that are there stay."""
+        n = self.config.embed_shards
+        for i in range(n):
+            path = f"{self.path('embed')}/shard={i}"
+            if not (resume and jsonl.exists(self.spark, path + "/_SUCCESS")):
+                self.embed(i, n).write.mode("overwrite").parquet(path)
+        jsonl.write_text(self.spark, self.path("embed") + "/_SUCCESS", "")
 
     def cluster(self) -> DataFrame:
-        rows, _ = cluster.with_vectors(self.read("svg_filter").drop("gt_svg"), self.read("embed"), "id")
+        rows, _ = cluster.with_vectors(self.read("svg_filter").drop("gt_svg"), self.read("embed").drop("shard"), "id")
         return cluster.clustered(rows, "domain", self.config.clusters, self.config.default_clusters).drop("embedding")
 
     def sample(self) -> DataFrame:
@@ -111,9 +122,14 @@ class Run:
             if (stages and stage not in stages) or (resume and self.done(stage)):
                 continue
             began = time.time()
-            getattr(self, stage)().write.mode("overwrite").parquet(self.path(stage))
+            if stage == "embed":
+                self.write_embeddings(resume)
+            else:
+                getattr(self, stage)().write.mode("overwrite").parquet(self.path(stage))
             took[stage] = round(time.time() - began, 1)
-        return {"config": asdict(self.config), "seconds": took}
+        out = {"config": asdict(self.config), "seconds": took}
+        jsonl.write_text(self.spark, f"{self.config.out}/run_stats.json", json.dumps(out))
+        return out
 
     def analyze(self) -> tuple[DataFrame, dict, str]:
         have = [(s, self.read(s)) for s in STAGES[:-1] if s != "embed" and self.done(s)]
@@ -122,22 +138,43 @@ class Run:
         n = {r["stage"]: r["rows"] for r in rows}
         high = pool.where("high").count()
         metrics = report.rates(n["extract"], n["dedup_exact"], n["dedup_near"], n["pool"], high, pool.where("not high").count())
-        metrics["length_stdev"] = report.numbers(pool.withColumn("l", F.length("instruction")), "l").first()["stdev"]
-        return self.spark.createDataFrame(rows), metrics, report.text_report(rows, metrics)
+        length = report.numbers(pool.withColumn("l", F.length("instruction")), "l").first().asDict()
+        distance = report.numbers(pool, "dist").first().asDict()
+        metrics |= {f"length_{k}": v for k, v in length.items()} | {f"distance_{k}": v for k, v in distance.items()}
+        every = self.read("cluster").select(F.col("domain").alias("bucket"), F.col("cluster_id").alias("cluster"))
+        covered = report.coverage(pool, every).orderBy("bucket").collect()  # a row for each bucket
+        for r in covered:
+            metrics[f"coverage {r['bucket']}"] = r["percent"]
+        metrics["coverage"] = round(100.0 * sum(r["clusters"] for r in covered) / max(1, sum(r["total"] for r in covered)), 1)
+        metrics |= {f"source {r['source']}": r["percent"] for r in report.mix(pool, "source").collect()}  # a row for each source
+        text = report.text_report(rows, metrics)
+        jsonl.write_text(self.spark, f"{self.config.out}/report.txt", text)
+        jsonl.write_text(self.spark, f"{self.config.out}/metrics.json", json.dumps(dict(sorted(metrics.items()))))
+        return self.spark.createDataFrame(rows), metrics, text
+
+
+def settings(path: str) -> dict:
+    """A JSON file of settings, or a YAML one where its reader is installed."""
+    with open(path) as f:
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            return yaml.safe_load(f) or {}
+        return json.load(f)
 
 
 def main(args: list[str] | None = None) -> None:
     p = argparse.ArgumentParser()
     p.add_argument("command", choices=["run", "analyze", "estimate"])
     p.add_argument("files", nargs="*")
-    p.add_argument("--config", help="a JSON file of settings")
+    p.add_argument("--config", help="a JSON or YAML file of settings")
     p.add_argument("--out")
     p.add_argument("--resume", action="store_true")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--dry-run-n", type=int, default=100)
     p.add_argument("--stage", action="append")
     a = p.parse_args(args)
-    values = json.load(open(a.config)) if a.config else {}
+    values = settings(a.config) if a.config else {}
     values |= {"files": a.files} if a.files else {}
     values |= {"out": a.out} if a.out else {}
     values |= {"dry_run_rows": a.dry_run_n} if a.dry_run else {}

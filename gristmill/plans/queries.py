@@ -36,7 +36,7 @@ def vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def deduped(spark: SparkSession, d: str) -> DataFrame:
-    return curate.exact_dedup(curate.clean(docs(spark, d)), "text", priority(), "doc_id")
+    return curate.exact_dedup(curate.clean(docs(spark, d)), "text", priority(), "doc_id")  # written once within
 
 
 def curate_flagship(spark: SparkSession, d: str) -> DataFrame:
@@ -131,10 +131,23 @@ g AS MATERIALIZED (SELECT doc_id, list(v ORDER BY k) AS sig FROM m GROUP BY doc_
 
 
 def near_dedup_survivors(spark, d):
-    rows = curate.clean(docs(spark, d))
+    rows = saved(curate.clean(docs(spark, d)).select("doc_id", "lang", "text"))
     return lsh.near_dedup(rows, "doc_id", "text", "lang", {"en": 0.8, "fr": 0.7}).select("doc_id", "lang")
 
 
+def _survivors_sql() -> str:
+    """The sequential rule itself: one row after the other, with the keys of those kept so far."""
+    each = {t: lsh.bands(t) for t in (0.7, 0.8)}
+    cut = lambda t: f"list_transform(range(0, {each[t][0]}), lambda i: '{t}|' || coalesce(lang, '-') || '|' || i || '|' || array_to_string(sig[i * {each[t][1]} + 1:(i + 1) * {each[t][1]}], ','))"
+    tail = f"""k AS MATERIALIZED (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS at, CASE WHEN lang = 'fr' THEN {cut(0.7)} ELSE {cut(0.8)} END AS keys FROM g JOIN documents_clean USING (doc_id)),
+r AS (SELECT 0::BIGINT AS at, NULL::BIGINT AS doc_id, NULL::VARCHAR AS lang, false AS kept, []::VARCHAR[] AS seen
+  UNION ALL SELECT k.at, k.doc_id, k.lang, NOT list_has_any(r.seen, k.keys), CASE WHEN list_has_any(r.seen, k.keys) THEN r.seen ELSE list_concat(r.seen, k.keys) END FROM r JOIN k ON k.at = r.at + 1)
+SELECT doc_id, lang FROM r WHERE kept"""
+    sql = _minhash_sql("").rstrip().removesuffix(")") + ")"
+    source = f"WITH RECURSIVE documents_clean AS MATERIALIZED (SELECT doc_id, lang, text FROM (SELECT * REPLACE ({CLEAN} AS text) FROM documents) WHERE length(text) >= 3),"
+    return sql.replace("WITH h AS", source + " h AS", 1).replace("AS x FROM documents)", "AS x FROM documents_clean)", 1) + ", " + tail
+
+
 def vector_normalise(spark, d):
     v = vectors(spark, d).select("vec_id", V.normalised(F.col("embedding")).alias("v"))
     return v.select("vec_id", F.round(F.col("v")[0], 6).alias("first"), F.round(V.norm(F.col("v")), 6).alias("norm"))
@@ -249,8 +262,8 @@ high AS (SELECT seq, bucket, cluster FROM ranked ORDER BY rn, cpos LIMIT 40)"""
 
 
 def staged(spark, d) -> list[tuple[str, DataFrame]]:
-    raw, clean = docs(spark, d), curate.clean(docs(spark, d))
-    exact = deduped(spark, d)
+    raw, clean = docs(spark, d), saved(curate.clean(docs(spark, d)))
+    exact = curate.exact_dedup(clean, "text", priority(), "doc_id")
     return [("extract", raw), ("clean", clean), ("dedup_exact", exact), ("svg_filter", curate.complexity_filter(exact, "lang", "n_chars", 0.1, FILTERED))]
 
 
@@ -302,10 +315,10 @@ def sample_hashed(spark, d):
 def fenced(spark, d) -> DataFrame:
     n = F.col("page_id")
     body = F.when(n % 3 == 0, F.concat(F.lit("see\n```SVG\n<svg>"), n.cast("string"), F.lit("</svg>\n```\nend"))).when(n % 3 == 1, F.concat(F.lit("raw <svg w='1'>"), n.cast("string"), F.lit("</svg> tail"))).otherwise("none")
-    return table(spark, d, "pages").select("page_id", F.concat(F.substring("url", 1, 20), F.lit(" "), body).alias("text"))
+    return table(spark, d, "pages").select("page_id", F.concat(F.coalesce("html", F.lit("")), F.lit(" "), body).alias("text"))
 
 
-FENCED_SQL = "f AS (SELECT page_id, url[:20] || ' ' || CASE page_id % 3 WHEN 0 THEN 'see' || chr(10) || '```SVG' || chr(10) || '<svg>' || page_id || '</svg>' || chr(10) || '```' || chr(10) || 'end' WHEN 1 THEN 'raw <svg w=''1''>' || page_id || '</svg> tail' ELSE 'none' END AS text FROM pages)"
+FENCED_SQL = "f AS (SELECT page_id, coalesce(html, '') || ' ' || CASE page_id % 3 WHEN 0 THEN 'see' || chr(10) || '```SVG' || chr(10) || '<svg>' || page_id || '</svg>' || chr(10) || '```' || chr(10) || 'end' WHEN 1 THEN 'raw <svg w=''1''>' || page_id || '</svg> tail' ELSE 'none' END AS text FROM pages)"
 
 
 def code_block_extract(spark, d):
@@ -426,6 +439,7 @@ SELECT conv_id, instruction, length(reply) AS svg_len, CASE WHEN coalesce(instru
     "byte_shingles": "WITH h AS (SELECT doc_id, hex(encode(text)) AS x FROM documents) SELECT doc_id, length(x) // 2 AS n_bytes, CASE WHEN length(x) <= 10 THEN 1 ELSE len(list_distinct(list_transform(range(0, length(x) // 2 - 4), lambda i: substr(x, 2 * i + 1, 10)))) END AS n_shingles FROM h",
     "minhash_signatures": _minhash_sql("SELECT doc_id, array_to_string(sig, ',') AS sig FROM g"),
     "band_keys": _minhash_sql("SELECT doc_id, band, md5(array_to_string(sig[band * 13 + 1:band * 13 + 13], ',')) AS key FROM (SELECT doc_id, sig, unnest(range(0, 9))::INT AS band FROM g)"),
+    "near_dedup_survivors": _survivors_sql(),
     "vector_normalise": f"WITH n AS (SELECT vec_id, embedding, {NORM.format(v='embedding')} AS n FROM embeddings) SELECT vec_id, round(embedding[1]::DOUBLE / n, 6) AS first, round(sqrt(list_sum(list_transform(embedding, lambda x: power(x::DOUBLE / n, 2)))), 6) AS norm FROM n",
     "vector_truncate": f"WITH n AS (SELECT vec_id, {D32} AS v FROM embeddings), m AS (SELECT *, {NORM.format(v='v')} AS n FROM n) SELECT vec_id, 32 AS dim, round(v[1] / n, 6) AS first, round(v[32] / n, 6) AS last FROM m",
     "embed_stub": "SELECT doc_id AS id, 16 AS dim, 0.0::DOUBLE AS total FROM documents",
@@ -457,7 +471,7 @@ SELECT step, stage, rows, round(100.0::DOUBLE * rows / lag(rows) OVER (ORDER BY
     "text_segments": f"WITH {FENCED_SQL}, p AS (SELECT page_id, string_split(text, '```') AS ps FROM f), u AS (SELECT page_id, unnest(range(0, len(ps)))::INT AS place, unnest(ps) AS part FROM p) SELECT page_id, place, CASE WHEN place % 2 = 1 THEN 'code' ELSE 'text' END AS kind, CASE WHEN place % 2 = 1 THEN regexp_extract(part, '^(\\w*)', 1) ELSE '' END AS language, trim(CASE WHEN place % 2 = 1 THEN regexp_replace(part, '^\\w*', '') ELSE part END, chr(10) || ' ') AS body FROM u",
     "html_escape": "SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) AS escaped_md5 FROM pages",
     "page_titles": "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages",
-    "image_types": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 4 THEN 'image/webp' END AS type FROM documents",
+    "image_types": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' END AS type FROM documents",
     "record_search": "SELECT doc_id FROM documents WHERE contains(doc_id::VARCHAR, '17') OR contains(text, '17')",
     "ids_from_paths": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'stage2_illustration' ELSE 'stage1_icon' END || '/' || t || CASE WHEN doc_id % 2 = 0 THEN '/stage2-illustration-' ELSE '/stage1-icon-' END || t || '-data_000000:' || doc_id AS id FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'text2svg' ELSE 'img2svg' END AS t FROM documents)",
     "jsonl_round_trip": "SELECT CASE WHEN doc_id % 50 = 7 THEN 'json_parse_error' ELSE 'ok' END AS skip_reason, count(*) AS n, sum(CASE WHEN doc_id % 50 <> 7 THEN n_chars END)::BIGINT AS chars FROM documents WHERE doc_id % 50 <> 8 GROUP BY ALL",

@@ -37,8 +37,18 @@ def scan(spark: SparkSession, paths: str | list[str], schema: T.StructType, mode
 
 
 def numbered(df: DataFrame, first: int = 0) -> DataFrame:
-    """With line_no: the place among a file's valid rows. One file is one sorted group."""
-    return df.withColumn("line_no", F.row_number().over(W.partitionBy("file").orderBy("at")) + (first - 1))
+    """With line_no: the place among a file's valid rows.
+
+    Rows are ranked within their block (a split of a file, which is one task) and start where the counts
+    of the file's blocks before it end, so a large file isn't one group.
+    """
+    block = F.col("at.block")
+    sizes = df.groupBy("file", block.alias("_block")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each block
+    starts = sizes.select(F.col("file").alias("_file"), "_block", before.alias("_before"))
+    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy("file", block).orderBy("at")))
+    out = ranked.join(starts, (F.col("file") == F.col("_file")) & (F.col("at.block") == F.col("_block")))
+    return out.withColumn("line_no", (F.col("_before") + F.col("_rank") + (first - 1)).cast("long")).select(*df.columns, "line_no")
 
 
 def limited(df: DataFrame, n: int) -> DataFrame:
@@ -56,6 +66,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, wherever Spark can write."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The lenient scan; a missing path has no rows."""
     if exists(spark, path):
