@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.sources.stores import saved
+from gristmill.sources.stores import discard, saved
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,9 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
         # small star: a node and its smaller neighbours move to the smallest of them
         low = _nearest(big)
         small = big.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        e = saved(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        made = saved(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        discard(e)
+        e = made
         now = _state(e)
         if now == before:
             break
