@@ -32,6 +32,8 @@ BASE = KINDS[:3]
 #: A value with at least so many owners, or in so many repositories, is an example that people copy.
 EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 20
 MASK = "[secret]"
+#: Matches that are folded one after the other, and code points in a block of a text.
+CHUNK, BLOCK = 256, 1024
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint>>"
 
 
@@ -59,10 +61,24 @@ def _spans(text: Column, kind: str, least: int = 6) -> Column:
         return F.struct((acc["at"] + width).alias("at"), F.when(good, F.concat(acc["got"], F.array(span).cast(SPAN))).otherwise(acc["got"]).alias("got"))
 
     none = F.array().cast(SPAN)
-    got = F.aggregate(parts, F.struct(F.lit(0).cast("long").alias("at"), none.alias("got")), step, lambda acc: acc["got"])
+    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("got"))
+    # CHUNK parts at once, each chunk from 0, then moved to its place: the work doesn't grow with the square of the matches
+    chunks = F.transform(_chunks(parts), lambda k: F.aggregate(F.slice(parts, k * CHUNK + 1, F.lit(CHUNK)), begin, step))
+
+    def move(acc: Column, part: Column) -> Column:
+        moved = F.transform(part["got"], lambda s: s.withField("start", s["start"] + acc["at"]).withField("end", s["end"] + acc["at"]))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["got"], F.array(moved.cast(SPAN))).alias("got"))
+
+    nested = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("got"))
+    got = F.flatten(F.aggregate(chunks, nested, move, lambda acc: acc["got"]))
     return F.when(text.rlike(pattern), got).otherwise(none)
 
 
+def _chunks(items: Column) -> Column:
+    """Numbers of the chunks of CHUNK items of an array that isn't empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
+
+
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
@@ -114,13 +130,27 @@ def masked(docs: DataFrame) -> DataFrame:
     whole = F.col(f"_k{names.index('text')}")
     live = F.array_sort(F.transform(F.filter("all", lambda s: _live(s["owners"], s["repos"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
+    blocks = F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(start: Column, end: Column) -> Column:
+        """Code points start to end, found by their blocks and not from the text's begin."""
+        first = F.floor(start / BLOCK).cast("int")
+        some = F.array_join(F.slice(blocks, first + 1, F.floor(end / BLOCK).cast("int") - first + 1), "")
+        return F.substring(some, (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))
+
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(whole, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        piece = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit(MASK))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
+        made = F.when(s["start"] >= acc["at"], F.concat(piece(acc["at"], s["start"]), F.lit(MASK))).otherwise(F.lit(""))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], made).alias("out"))
+
+    def upto(n: Column) -> Column:
+        """Where the first n spans end, all of them."""
+        return F.coalesce(F.array_max(F.transform(F.slice(live, 1, n), lambda s: s["end"])), F.lit(0).cast("long"))
+
+    def chunk(k: Column) -> Column:
+        begin = F.struct(upto(k * CHUNK).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(F.slice(live, k * CHUNK + 1, F.lit(CHUNK)), begin, step, lambda acc: acc["out"])
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    text = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substr(whole, (acc["at"] + 1).cast("int"))))
+    text = F.concat(F.array_join(F.transform(_chunks(live), chunk), ""), piece(upto(F.size(live)), F.length(whole).cast("long")))
     clean = F.when(F.size(live) > 0, text).otherwise(whole)
     return rows.select(*((clean if n == "text" else F.col(f"_k{i}")).alias(n) for i, n in enumerate(names)))
 

@@ -51,6 +51,25 @@ def test_masking_keeps_documents(documents):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a [secret] b", 2: "clean", 3: None}
 
 
+def test_many_matches_in_one_text(documents, monkeypatch):
+    """More than a chunk of matches, positions in code points, against plain search and replacement."""
+    monkeypatch.setattr(secrets, "CHUNK", 7)
+    monkeypatch.setattr(secrets, "BLOCK", 50)
+    text = "".join(f"é𝄞 word{i}\n token=key{i:05d}x " + ("AKIA" + "B" * 16 if i % 3 == 0 else "token=secret=abcdefgh") for i in range(60)) + " end 𝄞"
+    r = secrets.digest(documents([(1, text, "en", "s")])).collect()[0]
+    want = sorted(spans(text), key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+    assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    got = secrets.masked(documents([(1, text, "en", "s")])).collect()[0].text
+    out, at = [], 0
+    spoiled = Counter(text[a:b] for k, a, b in want if k == "access")
+    assert len(spoiled) == 1  # in one document of one source: live
+    for a, b in sorted((a, b) for _, a, b in want):
+        if a >= at:
+            out += [text[at:a], secrets.MASK]
+        at = max(at, b)
+    assert got == "".join(out) + text[at:]
+
+
 def test_masking_takes_tokens_with_few_digits(documents):
     token, shared = "qWmZ+tRkLpXvBn/YcDsFgHjK3wQeUiOzAaSbTdEh", "ZqWmtRkLpXvBnYcDsFgHjK4wQeUiOzAaSbTdEhXx"
     rows = [(1, f"see {token} here", "en", "a"), *((i, f"see {shared} here", "en", f"s{i}") for i in (2, 3, 4))]
