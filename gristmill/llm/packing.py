@@ -35,8 +35,8 @@ from gristmill.llm.text import RUN, buffers, runs, tidy
 from gristmill.sources.stores import saved
 
 WINDOW, END, SALTS = 4096, 2, 256
-#: Chunks and words whose ids a task remembers.
-REMEMBER, WORDS = 600_000, 400_000
+#: Chunks whose ids a task remembers, and words that a worker does from task to task.
+REMEMBER, WORDS = 600_000, 600_000
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
 #: others, and those with what may be a special token, go through the tokenizer as they are.
 PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
@@ -102,7 +102,8 @@ class Encoder:
     def learn_words(self, new: list[str]) -> None:
         for lo in range(0, len(new), 2000):
             part = new[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            # one text, and no offsets are asked for
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):  # a word that isn't what it seems: one at a time
                 made = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
@@ -166,7 +167,7 @@ def encoded(vocabulary: str, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]
 
 
 def forgetting(run):
-    """A batch function that drops what its task remembered."""
+    """A batch function that drops the chunks that its task remembered; texts share more words than chunks."""
 
     def forgot(batches):
         try:
@@ -174,7 +175,6 @@ def forgetting(run):
         finally:
             for encoder in _encoders.values():
                 encoder.forget()
-                encoder.forget_words()
 
     return tidy(forgot)
 
