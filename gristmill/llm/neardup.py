@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.text import distinct, mix, powers, quoted, shingles, tidy, words
 from gristmill.operators.graph import connected_components
-from gristmill.sources.stores import saved
+from gristmill.sources.stores import discard, saved
 
 COORDS, MISS, GROUP = 48, 1e-5, 512
 #: Shingles in a block of a family, about 16 MB.
@@ -253,14 +253,16 @@ EDGES = "src long, dst long"
 
 
 def _families(reps: DataFrame, t: int) -> DataFrame:
-    """(node, component): classes joined by chains of signatures that agree in t coordinates."""
+    """(node, component), written: classes joined by chains of signatures that agree in t coordinates."""
     posted = reps.select("rep", "sig").mapInArrow(tidy(_postings), "rep long, p long")
     shared = posted.groupBy("p").agg(F.count("*").alias("n")).where("n > 1")
     mine = posted.join(shared, "p").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "p"))).alias("all")).where(F.size("all") >= t)
     prefix = saved(mine.select("rep", F.explode(F.slice("all", F.lit(1), F.size("all") - t + 1)).alias("x")).select("rep", F.col("x.p").alias("p")))
     lists = prefix.groupBy("p").agg(F.count("*").alias("n"), F.min("rep").alias("g")).where("n > 1").select("p", "g")
     member = saved(prefix.join(lists, "p").select("g", "rep").distinct())
+    discard(prefix)
     sized = saved(member.groupBy("g").agg(F.count("*").alias("m")).where("m > 1"))
+    spent = [member, sized]
     sig = reps.select("rep", "sig")
     small = member.join(sized.where(F.col("m") <= GROUP), "g").select("g", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"), "rep").join(sig, "rep")
     rows = [small]
@@ -269,6 +271,7 @@ def _families(reps: DataFrame, t: int) -> DataFrame:
         large = member.join(sized.where(F.col("m") > GROUP), "g").join(sig, "rep")
         head = sig.select(F.col("rep").alias("g"), F.col("sig").alias("head"))
         met = saved(large.join(head, "g").mapInArrow(_star(t), "g long, m long, rep long, sig binary, near boolean"))
+        spent.append(met)
         edges.append(met.where("near").select(F.col("rep").alias("src"), F.col("g").alias("dst")))
         far = met.where("not near").groupBy("g").agg(F.count("*").alias("far"))
         blocks = lambda n: F.ceil(F.col(n) / GROUP).cast("int")
@@ -284,7 +287,9 @@ def _families(reps: DataFrame, t: int) -> DataFrame:
     every = edges[0]
     for e in edges[1:]:
         every = every.union(e)
-    return connected_components(every)
+    made = saved(connected_components(every))
+    discard(*spent)
+    return made
 
 
 def _star(t: int):
@@ -297,13 +302,16 @@ def _star(t: int):
     return run
 
 
-def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int = COORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
+def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int = COORDS, spent: list | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
+
+    ``spent`` gets the working tables that the result reads.
+    """
     powers(1, np.uint64(3))
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(_signatures(k, coords)), "doc_id long, n_shingles long, key binary, sig binary")
     rows = saved(made)
     reps = saved(rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
-    families = saved(_families(reps, threshold(similarity, coords)))
+    families = _families(reps, threshold(similarity, coords))
     sizes = families.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy("component").agg(F.sum("n").alias("items"), F.count("*").alias("m"))
     blocks = sizes.where("m > 1").select("component", F.ceil(F.col("items") / BLOCK).cast("int").alias("blocks"))
     inside = saved(families.join(blocks, "component").select("node", F.col("component").alias("family"), "blocks"))
@@ -315,7 +323,10 @@ def components(docs: DataFrame, k: int = 5, similarity: float = 0.8, coords: int
     placed = sets.withColumn("x", F.explode(every)).select("family", "x.i", "x.j", "node", "items")
     num = round(similarity * 100)
     links = placed.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(tidy(_confirm((num, 100))), EDGES)
-    linked = connected_components(links)
+    linked = saved(connected_components(links))
+    discard(families, inside)
+    if spent is not None:
+        spent += [rows, reps, linked]
     named = reps.select("key", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
@@ -332,13 +343,16 @@ def deduped(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     while name in map(str.lower, docs.columns):
         name += "_"
     rows = saved(docs.withColumn(name, F.monotonically_increasing_id()))
-    found = components(rows.select(F.col(name).alias("doc_id"), "text"), k, similarity).select(F.col("doc_id").alias(name), F.col("component_id").alias("_component"))
+    spent: list = []
+    found = components(rows.select(F.col(name).alias("doc_id"), "text"), k, similarity, spent=spent).select(F.col("doc_id").alias(name), F.col("component_id").alias("_component"))
     found = saved(found)
+    discard(*spent)
     several = found.where(F.col(name) != F.col("_component")).select("_component").distinct()
     met = found.join(several, "_component").join(rows.select(name, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"), F.col(name).alias("at")).alias("_rank")), name)
     met = saved(met.select(name, "_component", "_rank"))
     first = met.groupBy("_component").agg(F.min("_rank").alias("_rank")).select(F.col("_rank.at").alias(name))
     gone = saved(met.select(name).join(first, name, "left_anti"))
+    discard(found, met)
     few = gone.count() <= SMALL
     return rows.join(F.broadcast(gone) if few else gone, name, "left_anti").select(*map(quoted, docs.columns))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.text import ALNUM_BYTES, mix, tidy, words
-from gristmill.sources.stores import saved
+from gristmill.sources.stores import discard, saved
 
 BITS = 20
 TRAIN_ROWS, TRAIN_TOTAL, EPOCHS = 8000, 24_000_000, 5
@@ -89,14 +89,16 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     known = saved(known.orderBy("place").limit(TRAIN_ROWS))
     joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = joined.select("text", F.col("toxic").cast("int").alias("toxic"), "place").mapInArrow(tidy(_bags), "toxic int, place string, bag binary")
-    rows = saved(rows.withColumn("tie", F.xxhash64("bag")).dropDuplicates(["place", "tie"]))
+    rows = written = saved(rows.withColumn("tie", F.xxhash64("bag")).dropDuplicates(["place", "tie"]))
     order = ["place", "tie"]
     sizes = rows.select(*order, (F.length("bag") / 4).alias("n")).orderBy(*order).limit(TRAIN_ROWS).collect()
     taken = int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), TRAIN_TOTAL, "right"))
     if sizes:
         last = sizes[min(max(taken, 1), len(sizes)) - 1]
         rows = rows.where(F.struct(*order) <= F.struct(F.lit(last["place"]), F.lit(last["tie"])))
-    rows = sorted(rows.collect(), key=lambda r: (r["place"], r["tie"]))  # at most TRAIN_ROWS rows and TRAIN_TOTAL buckets, or one row
+    # at most TRAIN_ROWS rows and TRAIN_TOTAL buckets, or one row; a partition at once, so the driver holds them only once
+    rows = sorted(rows.toLocalIterator(), key=lambda r: (r["place"], r["tie"]))
+    discard(known, written)
     if not rows:
         return None
     model, bias = Ftrl(1 << BITS), np.array([1 << BITS])
