@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import RUN, buffers, runs, tidy
+from gristmill.llm.text import RUN, WORD_BYTES, buffers, runs, tidy
 from gristmill.sources.stores import saved
 
 WINDOW, END, SALTS = 4096, 2, 256
-#: Chunks whose ids a task remembers, and words that a worker does from task to task.
-REMEMBER, WORDS = 600_000, 600_000
+#: Chunks and words whose ids a task remembers; a worker keeps the words that come often for its next task.
+REMEMBER, WORDS = 600_000, 400_000
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
 #: others, and those with what may be a special token, go through the tokenizer as they are.
 PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
@@ -96,9 +96,21 @@ class Encoder:
 
     def forget_words(self) -> None:
         self.word_index: dict[str, int] = {"\n": 0}
-        self.words = Table()
+        self.words, self.seen = Table(), np.zeros(1, np.int64)
         self.words.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
+    def forget_rare_words(self) -> None:
+        """Keep the words that came in two batches at least, or in one since they were kept."""
+        often = np.flatnonzero(self.seen > 1)
+        often = often[often > 0]
+        names = list(self.word_index)
+        kept, (ids, n) = [names[i] for i in often.tolist()], self.words.gather(often)
+        ids = ids.copy()
+        self.forget_words()
+        self.words.add(ids, n)
+        self.word_index.update(zip(kept, range(1, len(kept) + 1), strict=True))
+        self.seen = np.ones(len(kept) + 1, np.int64)
+
     def learn_words(self, new: list[str]) -> None:
         for lo in range(0, len(new), 2000):
             part = new[lo : lo + 2000]
@@ -126,6 +138,9 @@ class Encoder:
                 missing = [words[i] for i in new.tolist()]
                 self.learn_words(list(dict.fromkeys(missing)))
                 at[new] = np.fromiter(map(self.word_index.__getitem__, missing), np.int64, len(new))
+            found = np.unique(at)
+            self.seen = np.concatenate((self.seen, np.zeros(len(self.word_index) - len(self.seen), np.int64)))
+            self.seen[found] += 1
             ids, n = self.words.gather(at)
             ends = np.concatenate((np.flatnonzero(at == 0), [len(at)]))
             total = np.concatenate(([0], np.cumsum(n)))
@@ -136,21 +151,29 @@ class Encoder:
         order = [c for c, p in zip(chunks, plain, strict=True) if p] + [c for c, p in zip(chunks, plain, strict=True) if not p]
         self.index.update(zip(order, range(len(self.index), len(self.index) + len(order)), strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text with the end token."""
+    def encode(self, b: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text, b[cuts[i] : cuts[i + 1]] in UTF-8, with the end token."""
         if len(self.index) > REMEMBER:
             self.forget()
-        chunks = [t.split() for t in texts]
-        flat = list(itertools.chain.from_iterable(chunks))
-        at = np.fromiter(map(self.index.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        inside = WORD_BYTES[b]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        begin = cuts[:-1][cuts[:-1] < len(b)]
+        first[begin] |= inside[begin]
+        starts = np.flatnonzero(first)
+        offsets = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)).astype(np.int32)
+        # equal chunks of these texts are found by Arrow, so only distinct ones are looked up here
+        chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(b[inside])]).dictionary_encode()
+        names = chunks.dictionary.to_pylist()
+        at = np.fromiter(map(self.index.get, names, itertools.repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(at < 0)
         if len(new):
-            missing = [flat[i] for i in new.tolist()]
-            self.learn(list(dict.fromkeys(missing)))
+            missing = [names[i] for i in new.tolist()]
+            self.learn(missing)
             at[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
-        ids, n = self.chunks.gather(at)
-        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([0, *map(len, chunks)])]
-        return [np.append(ids[a:b], np.uint32(END)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        ids, n = self.chunks.gather(at[chunks.indices.to_numpy()])
+        ends = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(starts, cuts)]
+        return [np.append(ids[s:e], np.uint32(END)) for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -162,12 +185,12 @@ def encoded(vocabulary: str, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]
         _encoders[vocabulary] = Encoder(vocabulary)
     encoder = _encoders[vocabulary]
     data, offs = buffers(texts)
-    for lo, hi in runs(offs, 2 * RUN):
-        yield from enumerate(encoder.encode([data[offs[r] : offs[r + 1]].tobytes() for r in range(lo, hi)]), lo)
+    for lo, hi in runs(offs, 8 * RUN):
+        yield from enumerate(encoder.encode(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]), lo)
 
 
 def forgetting(run):
-    """A batch function that drops the chunks that its task remembered; texts share more words than chunks."""
+    """A batch function that drops what its task remembered but the frequent words."""
 
     def forgot(batches):
         try:
@@ -175,6 +198,7 @@ def forgetting(run):
         finally:
             for encoder in _encoders.values():
                 encoder.forget()
+                encoder.forget_rare_words()
 
     return tidy(forgot)
 
