@@ -12,8 +12,8 @@
    beyond ``GROUP`` members first meet one member (a star); only those that don't match it are
    compared with the others, in blocks.
 4. Candidate families are components of these links. Within a family the full sets confirm each
-   link (exact counts over an inverted index), again in blocks, and components of confirmed links
-   are the result.
+   link (exact counts over an inverted index), again in blocks and one member first, and components of
+   confirmed links are the result.
 
 t is the largest count that a pair at the least similarity misses with a chance of at most MISS.
 
@@ -207,24 +207,34 @@ def _sets(k: int):
 
 
 def _overlaps(sets: list[np.ndarray], similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i < j) of sets with num * union <= den * intersection, by counts over an inverted index."""
+    """Pairs of sets with num * union <= den * intersection, by counts over an inverted index.
+
+    All sets meet the first one; only those that aren't linked with it meet the others too. The sets linked with
+    the first are linked through it, so the components are those of all pairs.
+    """
     num, den = similarity
     size = np.array([len(s) for s in sets])
     items, ids = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), size)
     order = np.argsort(ids, kind="stable")
     lists, starts = owner[order], np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=len(items)))))
-    left, right, at = [], [], np.concatenate(([0], np.cumsum(size)))
-    for i in range(len(sets) - 1):
+    at = np.concatenate(([0], np.cumsum(size)))
+
+    def linked(i: int) -> np.ndarray:
         own = ids[at[i] : at[i + 1]]
         s, e = starts[own], starts[own + 1]
         n = e - s
         pick = np.repeat(s - np.concatenate(([0], np.cumsum(n[:-1]))), n) + np.arange(n.sum())
-        both = np.bincount(lists[pick], minlength=len(sets))[i + 1 :]
-        j = np.flatnonzero(den * both >= num * (size[i] + size[i + 1 :] - both)) + i + 1
-        left.append(np.full(len(j), i))
-        right.append(j)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
+        both = np.bincount(lists[pick], minlength=len(sets))
+        return den * both >= num * (size[i] + size - both)
+
+    near = linked(0)
+    right = [np.flatnonzero(near)]
+    left = [np.zeros(len(right[0]), int)]
+    for i in np.flatnonzero(~near):
+        right.append(np.flatnonzero(linked(i)))
+        left.append(np.full(len(right[-1]), i))
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _confirm(similarity: tuple[int, int]):
