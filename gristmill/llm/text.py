@@ -141,11 +141,11 @@ def distinct(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return v[new], np.concatenate(([0], np.cumsum(np.bincount(row[new], minlength=n)))).astype(np.int64)
 
 
-def _trim() -> None:
+def trim() -> None:
     """Give freed memory back; only some C libraries need it and have the call."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -156,6 +156,6 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            _trim()
+            trim()
 
     return tidied

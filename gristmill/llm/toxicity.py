@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.text import ALNUM_BYTES, mix, tidy, words
+from gristmill.llm.text import ALNUM_BYTES, mix, tidy, trim, words
 from gristmill.sources.stores import discard, saved
 
 BITS = 20
@@ -96,18 +96,23 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) ->
     if sizes:
         last = sizes[min(max(taken, 1), len(sizes)) - 1]
         rows = rows.where(F.struct(*order) <= F.struct(F.lit(last["place"]), F.lit(last["tie"])))
-    # at most TRAIN_ROWS rows and TRAIN_TOTAL buckets, or one row; a partition at once, so the driver holds them only once
-    rows = sorted(rows.toLocalIterator(), key=lambda r: (r["place"], r["tie"]))
+    # at most TRAIN_ROWS rows and TRAIN_TOTAL buckets, or one row; a part at once, and then held only once
+    rows = sorted(rows.coalesce(4).toLocalIterator(), key=lambda r: (r["place"], r["tie"]))
     discard(known, written)
     if not rows:
         return None
+    truth, ends = [float(r["toxic"]) for r in rows], np.cumsum([0, *(len(r["bag"]) // 4 for r in rows)])
+    flat = np.frombuffer(b"".join(r["bag"] for r in rows), np.int32)
+    del rows
+    trim()
     model, bias = Ftrl(1 << BITS), np.array([1 << BITS])
-    bags = [np.concatenate((np.frombuffer(r["bag"], np.int32), bias)) for r in rows]
     rng = np.random.default_rng(5)
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
-            model.learn(bags[i], float(rows[i]["toxic"]))
+        for i in rng.permutation(len(truth)):
+            model.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), truth[i])
     w = model.weights(np.arange((1 << BITS) + 1))
+    del flat
+    trim()
     kept = np.flatnonzero(w[:-1])
     return kept.astype(np.int32), w[kept], float(w[-1])
 
