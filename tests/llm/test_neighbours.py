@@ -40,12 +40,42 @@ def test_equals_brute_force(spark, monkeypatch):
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     for dim in (3, 64, 1500):
-        a, b = (nn.Tile(np.arange(20).tobytes(), rng.normal(size=(20, dim)).tobytes(), dim) for _ in range(2))
+        a, b = (nn.Tile(np.arange(20), rng.normal(size=(20, dim))) for _ in range(2))
         near, off = nn.bounds(a, b)
         true = (a.x / np.linalg.norm(a.x, axis=1)[:, None]) @ (b.x / np.linalg.norm(b.x, axis=1)[:, None]).T
         assert (np.abs(true - near) <= off).all()
 
 
+def test_packing_round_trip():
+    rng = np.random.default_rng(3)
+    for kind in (np.float32, np.float64):
+        a = nn.Tile(np.arange(7), rng.normal(size=(7, 5)).astype(kind))
+        b = nn.Tile.unpacked(a.packed(), 5, kind)
+        assert all((getattr(a, n) == getattr(b, n)).all() for n in nn.PARTS)
+
+
+def test_best_of_each_row():
+    row, score = np.array([1, 0, 1, 1, 1, 0]), np.array([0.5, 0.1, 0.9, 0.9, 0.7, 0.1])
+    got = nn.best(row, score, np.array([4, 9, 8, 3, 4, 2]), 2)
+    assert list(zip(*got)) == [(0, 0.1, 2), (0, 0.1, 9), (1, 0.9, 3), (1, 0.9, 8)]
+
+
+def test_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(nn, "PAIRS", 100)  # pairs are recomputed in several parts
+    rows = [(i, [1.0, 2.0, 0.5], 0, 0) for i in range(900)] + [(900, [1.0, -1.0, 0.0], 0, 0)]
+    assert run(spark, rows, every=300) == brute([r[:2] for r in rows], 300)
+
+
+def test_floats(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in nn.nearest(df, every=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == brute(rows, 10)
+
+
 def test_few_rows(spark):
     assert run(spark, []) == {}
     assert run(spark, [(0, [1.0, 0.0], 0, 0), (1, [1.0, 1.0], 0, 0)]) == {0: [1]}
