@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill.functions.vectors import distance
+from gristmill.operators.sample import hashed_sample
 from gristmill.sources.stores import saved
 
 #: Centroids of at most so many bytes are broadcast; more are met in blocks.
@@ -139,3 +140,28 @@ def clustered(df: DataFrame, bucket: str, sizes: dict[str, int], default: int =
 def actual_k(label: str = "cluster_id") -> Column:
     """The largest label and one, which counts empty labels below it too."""
     return F.max(label) + 1
+
+
+#: Rows of a projection at most.
+PROJECTED = 50_000
+
+
+def projected(df: DataFrame, key: str, vector: str = "embedding", rows: int = PROJECTED, seed: int | str = 42) -> DataFrame:
+    """(key, x, y): the two main axes of a reproducible sample of rows, each axis' largest load positive.
+
+    Fewer than two rows, or vectors of one component, have zeros where there is no axis.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    own = df.where(F.col(vector).isNotNull()).select(F.col(key), F.transform(vector, lambda x: x.cast("double")).alias("_x"))
+    own = saved(hashed_sample(own, rows, key, seed))
+    n, dim = own.agg(F.count("*"), F.max(F.size("_x"))).first()
+    if n < 2:
+        return own.select(key, F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    ready = own.withColumn("_v", array_to_vector("_x"))
+    model = PCA(k=min(2, dim), inputCol="_v", outputCol="_p").fit(ready)
+    axes = model.pc.toArray()
+    signs = np.where(axes[np.abs(axes).argmax(0), np.arange(axes.shape[1])] < 0, -1.0, 1.0).tolist()
+    at = vector_to_array("_p")
+    return model.transform(ready).select(key, (at[0] * signs[0]).alias("x"), (at[1] * signs[1] if dim > 1 else F.lit(0.0)).alias("y"))

@@ -6,6 +6,7 @@ see that its terms permit the use.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -53,9 +54,15 @@ def attempt(call: Callable[[str], str], prompt: str, retries: int, sleep: Callab
     raise AssertionError
 
 
-def pending(df: DataFrame, done: DataFrame, key: str, retry_errors: bool = True) -> DataFrame:
-    """Rows that aren't done; an empty id never counts as done, an error is tried again if so asked."""
-    finished = done.where((F.col("id") != "") & ((F.col("status") == "ok") if retry_errors else F.lit(True)))
+def pending(df: DataFrame, done: DataFrame, key: str, retry_errors: bool = True, limit: int = 0, order: str | None = None) -> DataFrame:
+    """Rows that aren't done; an empty id never counts as done, an error is tried again if so asked.
+
+    A limit takes the first rows by ``order`` (the key if none) before those that are done go, so a repeated
+    run with one limit doesn't go on to further rows.
+    """
+    if limit:
+        df = df.orderBy(order or key).limit(limit)
+    finished = done.where((F.col("id").cast("string") != "") & ((F.col("status") == "ok") if retry_errors else F.lit(True)))
     return df.join(finished.select(F.col("id").alias(key)).distinct(), key, "left_anti")
 
 
@@ -86,6 +93,17 @@ def call_log(results: DataFrame, url: str, model: str) -> DataFrame:
     return results.select(F.current_timestamp().alias("ts"), F.lit(url).alias("url"), F.lit(model).alias("model"), "status", words(F.col("instruction")).alias("prompt_tokens"), words(F.col("response")).alias("completion_tokens"), "error")
 
 
+def log_calls(log: DataFrame, path: str) -> int | None:
+    """Append a call log as JSON lines and return its rows; None if it can't be written, as a log must not end a run."""
+    from gristmill.sources.jsonl import write
+
+    try:
+        return write(log, path, append=True)
+    except Exception:  # noqa: BLE001  whatever the store says
+        logging.getLogger(__name__).warning("the call log could not be written to %s", path, exc_info=True)
+        return None
+
+
 def usage(log: DataFrame) -> DataFrame:
     return log.groupBy("model", "status").agg(F.count("*").alias("calls"), F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"))
 
@@ -94,7 +112,8 @@ def data_uri(images: DataFrame) -> DataFrame:
     """(path, uri) of a binaryFile scan."""
     from gristmill.functions.text import extension_type
 
-    return images.select("path", F.concat(F.lit("data:"), F.coalesce(extension_type(F.col("path")), F.lit("application/octet-stream")), F.lit(";base64,"), F.base64("content")).alias("uri"))
+    flat = F.translate(F.base64("content"), "\r\n", "")  # Spark breaks long base64 into lines
+    return images.select("path", F.concat(F.lit("data:"), F.coalesce(extension_type(F.col("path")), F.lit("application/octet-stream")), F.lit(";base64,"), flat).alias("uri"))
 
 
 def prompt_content(instruction: Column, uri: Column | None = None, image_first: bool = True) -> Column:

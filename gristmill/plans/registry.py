@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-from gristmill.plans.queries import ORACLE_SQL, QUERIES
+from gristmill.plans import queries, record_queries
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
+
+QUERIES = queries.QUERIES | record_queries.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | record_queries.ORACLE_SQL
