@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gristmill.sources.stores import saved
+
 
 def position(seed: int | str, key: Column | str) -> Column:
     """A reproducible shuffle: the order of md5(seed || key)."""
@@ -70,17 +72,14 @@ def pool(df: DataFrame, budget: DataFrame) -> DataFrame:
 def high_priority(rows: DataFrame, n: int, seed: int | str, key: str) -> DataFrame:
     """n rows round-robin over clusters, nearest first, clusters in order of first appearance.
 
-    Counts per round give the last round that is needed; only that one is sorted.
+    Running counts of the rounds give the last one that is needed; only that one is sorted.
     """
     order = position(seed, key)
     by = W.partitionBy("bucket", "cluster")
-    r = rows.withColumn("pos", order).withColumns({"rn": F.row_number().over(by.orderBy("dist", "pos")), "cluster_pos": F.min("pos").over(by)})
-    counts = r.where(F.col("rn") <= n).groupBy("rn").agg(F.count("*").alias("c")).orderBy("rn").collect()  # one row a round
-    whole, have = 0, 0
-    for row in counts:
-        if have + row["c"] > n:
-            break
-        whole, have = row["rn"], have + row["c"]
+    ranked = rows.withColumn("pos", order).withColumns({"rn": F.row_number().over(by.orderBy("dist", "pos")), "cluster_pos": F.min("pos").over(by)})
+    r = saved(ranked.where(F.col("rn") <= n))
+    rounds = r.groupBy("rn").agg(F.count("*").alias("c")).withColumn("have", F.sum("c").over(W.orderBy("rn")))  # at most n rows
+    whole, have = rounds.where(F.col("have") <= n).agg(F.coalesce(F.max("rn"), F.lit(0)), F.coalesce(F.max("have"), F.lit(0))).first()
     last = r.where(F.col("rn") == whole + 1).orderBy("cluster_pos").limit(n - have)
     return r.where(F.col("rn") <= whole).unionByName(last).drop("pos", "rn", "cluster_pos")
 

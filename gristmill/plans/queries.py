@@ -16,7 +16,7 @@ from gristmill.functions import vectors as V
 from gristmill.operators import cluster, convert, curate, enrich, lsh, report, sample
 from gristmill.sources import jsonl
 from gristmill.sources.stores import saved, shared_folder, table
-from gristmill.streaming.incremental import windowed_counts
+from gristmill.streaming.incremental import first_seen, windowed_counts
 
 FILTERED = ["en", "fr"]
 POOL, HIGH, SEED = 200, 40, 42
@@ -408,6 +408,11 @@ def event_windows(spark, d):
     return windowed_counts(table(spark, d, "events"), "ts", "event_type", "1 day")
 
 
+def events_first_seen(spark, d):
+    """The first event of each type, the same code as on a stream."""
+    return first_seen(table(spark, d, "events").select("event_type", "ts", "event_id"), "event_type", "ts")
+
+
 D32 = "list_transform(embedding[:32], lambda x: x::DOUBLE)"
 NORM = "greatest(sqrt(list_sum(list_transform({v}, lambda x: x::DOUBLE * x::DOUBLE))), 1e-8)"
 CENT = "cent AS (SELECT label, pos, avg(x) AS m FROM (SELECT label, unnest(range(0, len(embedding)))::INT AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY ALL), comp AS (SELECT vec_id, label, unnest(range(0, len(embedding)))::INT AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings)"
@@ -419,7 +424,7 @@ QUERIES = {
         byte_shingles, minhash_signatures, band_keys, near_dedup_survivors, vector_normalise, vector_truncate, embed_stub, records_with_vectors, cluster_centroids, centroid_distance,
         cluster_sizes, inertia, nearest_centroid, kmeans_assign, bucket_quota, pool, high_priority, anneal, funnel, pool_metrics, source_mix, cluster_coverage, bucket_compare,
         length_histogram, distance_histogram, schema_profile, sample_first_n, sample_hashed, code_block_extract, raw_svg_extract, text_segments, html_escape, page_titles, image_types,
-        record_search, ids_from_paths, jsonl_round_trip, resume_pending, enrich_stub, retry_classes, call_usage, embedding_buckets, event_windows,
+        record_search, ids_from_paths, jsonl_round_trip, resume_pending, enrich_stub, retry_classes, call_usage, embedding_buckets, event_windows, events_first_seen,
     )
 } | {"cluster_budget": budgets}
 
@@ -480,5 +485,6 @@ SELECT step, stage, rows, round(100.0::DOUBLE * rows / lag(rows) OVER (ORDER BY
     "retry_classes": "SELECT CASE event_id % 8 WHEN 0 THEN 'ok' WHEN 1 THEN 'wait' WHEN 2 THEN 'wait' WHEN 3 THEN 'wait' WHEN 4 THEN 'stop' WHEN 5 THEN 'stop' ELSE 'retry' END AS class, count(*) AS n FROM events GROUP BY ALL",
     "call_usage": "SELECT 'stub' AS model, CASE WHEN doc_id % 9 = 0 THEN 'error' ELSE 'ok' END AS status, count(*) AS calls, 3 * count(*) AS completion_tokens FROM documents GROUP BY ALL",
     "embedding_buckets": "SELECT coalesce(lang, 'unknown') AS bucket, count(*) AS n FROM embeddings LEFT JOIN (SELECT doc_id, lang FROM documents WHERE doc_id % 3 <> 0) d ON vec_id = doc_id GROUP BY ALL",
+    "events_first_seen": "SELECT event_type, min(ts) AS ts, arg_min(event_id, struct_pack(ts, event_id)) AS event_id FROM events GROUP BY event_type",
     "event_windows": "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

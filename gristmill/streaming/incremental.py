@@ -39,3 +39,16 @@ def windowed_counts(events: DataFrame, time: str, by: str, width: str = "1 hour"
     if late and events.isStreaming:
         events = events.withWatermark(time, late)
     return events.groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), by, "n")
+
+
+def first_seen(rows: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:
+    """The first row of each key; works on streams and on tables.
+
+    On a stream the keys seen are kept as state across batches for as long as ``late`` rows may come, so the state is
+    bounded by the keys of that span. On a table the earliest row by ``time`` stays, ties by all columns.
+    """
+    if rows.isStreaming:
+        return rows.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    rest = [c for c in rows.columns if c not in (key, time)]
+    first = rows.groupBy(key).agg(F.min(F.struct(time, *rest)).alias("_first"))
+    return first.select(*((F.col(key) if c == key else F.col(f"_first.{c}").alias(c)) for c in rows.columns))

@@ -5,6 +5,7 @@ import numpy as np
 from gristmill import schema
 from gristmill.operators import cluster, enrich
 from gristmill.plans import batch
+from gristmill.streaming.incremental import first_seen
 from pyspark.sql import functions as F
 
 
@@ -75,3 +76,16 @@ def test_batch_conversion(spark, tmp_path):
     assert spark.read.schema(schema.CANONICAL).json(a).count() == 2 and json.loads((tmp_path / "out" / "conversion.json").read_text()) == counts
     text = batch.everything(spark, str(raw), str(tmp_path / "all"), dim=4, default_clusters=2, pool_size=4, high_size=2, filtered=[])
     assert "extract" in text and "pool_ok: True" in text
+
+
+def test_first_seen_holds_across_batches(spark, tmp_path):
+    source, kind = str(tmp_path / "in"), "k string, ts timestamp, v int"
+    parts = [[("a", 1, 1), ("b", 2, 2), ("a", 3, 3)], [("a", 4, 4), ("c", 5, 5)]]
+    rows = lambda part: spark.createDataFrame(part, "k string, s long, v int").selectExpr("k", "timestamp_seconds(s) AS ts", "v")
+    got = []
+    for part in parts:
+        rows(part).coalesce(1).write.mode("append").json(source)
+        stream = first_seen(spark.readStream.schema(kind).json(source), "k", "ts")
+        stream.writeStream.foreachBatch(lambda b, _: got.extend(r.k for r in b.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(got) == ["a", "b", "c"]
+    assert sorted((r.k, r.v) for r in first_seen(rows(sum(parts, [])), "k", "ts").collect()) == [("a", 1), ("b", 2), ("c", 5)]
