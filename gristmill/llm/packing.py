@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from gristmill.llm.text import RUN, WORD_BYTES, buffers, runs, tidy
 from gristmill.sources.stores import saved
 
-WINDOW, END, SALTS = 4096, 2, 256
+WINDOW, END = 4096, 2
+#: Cells at least that the pieces of one length are ranked in, and pieces in a cell where there are more.
+SALTS, CELL = 256, 1_000_000
 #: Chunks and words whose ids a task remembers; a worker keeps the words that come often for its next task.
 REMEMBER, WORDS = 600_000, 400_000
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
@@ -365,7 +367,8 @@ def packed(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
     pieces = saved(texts.mapInArrow(_pieces(vocabulary, window), PIECE).withColumn("piece", F.monotonically_increasing_id()))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
     rows, tail, sequence, total = plan(histogram, window)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("piece"), F.lit(SALTS)))
+    salts = max(SALTS, max(histogram.values(), default=0) // CELL)
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("piece"), F.lit(salts)))
     cells = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = cells.select("length", "salt", F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     within = F.row_number().over(W.partitionBy("length", "salt").orderBy("piece"))

@@ -45,6 +45,13 @@ def test_one_length_only(documents):
     assert packing.packed(documents([]), VOCAB).count() == 0
 
 
+def test_more_cells_where_a_length_has_many_pieces(documents, monkeypatch):
+    monkeypatch.setattr(packing, "SALTS", 2)
+    monkeypatch.setattr(packing, "CELL", 3)
+    rows = [(i, "a " * 40) for i in range(50)] + [(100 + i, "a " * i) for i in range(20)]
+    check(rows, packing.packed(documents(rows), VOCAB).collect())
+
+
 def test_repeated_rows_are_encoded_once_more_each(documents):
     rows = [(1, "a " * 2999)] * 30 + [(2, "b " * 2999)] * 3 + [(1, "b c " * 2000)]
     got = packing.packed(documents(rows), VOCAB).collect()
