@@ -38,7 +38,7 @@ WINDOW, END = 4096, 2
 #: Cells at least that the pieces of one length are ranked in, and pieces in a cell where there are more.
 SALTS, CELL = 256, 1_000_000
 #: Chunks and words whose ids a task remembers; a worker keeps the words that come often for its next task.
-REMEMBER, WORDS = 600_000, 400_000
+REMEMBER, WORDS = 200_000, 200_000
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
 #: others, and those with what may be a special token, go through the tokenizer as they are.
 PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
