@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill.functions.vectors import distance
+from gristmill.operators import lloyd
 from gristmill.operators.sample import hashed_sample
 from gristmill.sources.stores import saved
 
@@ -86,14 +87,10 @@ def nearest(df: DataFrame, middles: DataFrame, vector: str = "embedding") -> Dat
         kind = to_arrow_type(middles.schema["label"].dataType)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            half = (c * c).sum(1)
+            middle = lloyd.Middles(c)
             for b in batches:
-                for lo in range(0, b.num_rows, 4096):
-                    part = b.slice(lo, 4096)
-                    x = part[vector].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, -1)
-                    at = (half - 2 * (x @ c.T)).argmin(1)
-                    d = np.sqrt(((x - c[at]) ** 2).sum(1))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(labels[at].tolist(), kind), pa.array(d)], [*part.schema.names, "nearest", "distance"])
+                at, far = middle.nearest(b[vector].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels[at].tolist(), kind), pa.array(np.sqrt(far))], [*b.schema.names, "nearest", "distance"])
 
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         return df.mapInArrow(run, f"{kinds}, nearest {middles.schema['label'].dataType.simpleString()}, distance double")
@@ -106,25 +103,21 @@ def nearest(df: DataFrame, middles: DataFrame, vector: str = "embedding") -> Dat
     return rows.join(found, "_row").select(*df.columns, F.col("b.label").alias("nearest"), F.col("b.d").alias("distance"))
 
 
-def kmeans(df: DataFrame, k: int, vector: str = "embedding", seeds: tuple[int, ...] = (1, 2, 3), max_iter: int = 100) -> DataFrame:
-    """``df`` with cluster_id of the best of several runs; k is at most the number of distinct vectors."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+def kmeans(df: DataFrame, k: int, vector: str = "embedding", key: str | None = None, **settings) -> DataFrame:
+    """``df`` with cluster_id of the best of several seeded runs, as one bucket."""
+    names = df.columns
+    return lloyd.fitted(df.withColumn("_all", F.lit("")), "_all", {}, k, vector, key, **settings).select(*names, "cluster_id")
 
-    rows = saved(df.withColumn("_v", F.col(vector)))
-    n = rows.select("_v").distinct().limit(k + 1).count()  # more centres than distinct vectors can't be
-    if not n:
-        return df.withColumn("cluster_id", F.lit(0))
-    rows = rows.withColumn("_vector", array_to_vector(F.transform("_v", lambda x: x.cast("double"))))
-    models = [KMeans(featuresCol="_vector", predictionCol="cluster_id", k=max(1, min(k, n)), initMode="random", maxIter=max_iter, tol=1e-4, seed=s).fit(rows) if min(k, n) > 1 else None for s in seeds]
-    if models[0] is None:
-        return rows.drop("_v", "_vector").withColumn("cluster_id", F.lit(0))
-    model = min(models, key=lambda m: m.summary.trainingCost)
-    return model.transform(rows).drop("_v", "_vector")
 
+def clustered(
+    df: DataFrame, bucket: str, sizes: dict[str, int], default: int = 1000, vector: str = "embedding", backend: Callable[[DataFrame, int], DataFrame] | None = None, key: str | None = None, **settings
+) -> DataFrame:
+    """Each bucket clustered for itself, then described. Buckets are few (the keys of a config).
 
-def clustered(df: DataFrame, bucket: str, sizes: dict[str, int], default: int = 1000, vector: str = "embedding", backend: Callable[[DataFrame, int], DataFrame] = kmeans) -> DataFrame:
-    """Each bucket clustered for itself, then described. Buckets are few (the keys of a config)."""
+    All buckets share one pass of exact Lloyd a round, or of mini-batches (``batch``); another ``backend`` gets one bucket after the other.
+    """
+    if backend is None:
+        return described(saved(lloyd.fitted(df, bucket, sizes, default, vector, key, **settings)), [bucket, "cluster_id"], vector)
     names = [r[0] for r in df.select(bucket).distinct().limit(1001).collect()]
     if len(names) > 1000:
         raise ValueError("more than 1000 buckets; cluster them by a coarser key")

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import MIN_LENGTH, clean_text
-from gristmill.sources.stores import saved
+from gristmill.sources.stores import saved, spread
 
 
 def cleaned(df: DataFrame, text: str = "text") -> DataFrame:
     """Text in NFC, stripped; ``reject`` is null, empty or too_short."""
-    out = df.withColumn(text, clean_text(F.coalesce(F.col(text), F.lit(""))))
+    out = spread(df).withColumn(text, clean_text(F.coalesce(F.col(text), F.lit(""))))
     reject = F.when(F.col(text) == "", "empty").when(F.length(text) < MIN_LENGTH, "too_short")
     return out.withColumn("reject", reject)
 

@@ -1,8 +1,7 @@
-"""MinHash-LSH near-dedup with order-greedy semantics, in rounds.
+"""MinHash-LSH near-dedup with order-greedy semantics, in growing prefixes of the order.
 
 A row is kept unless one of its band keys equals a key of an earlier kept row. That is the
-lexicographically first maximal independent set by ``seq``; each round settles all rows that lead
-every one of their bands, and all rows that share a band with one of those.
+lexicographically first maximal independent set by ``seq``.
 """
 
 from __future__ import annotations
@@ -17,13 +16,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.sources.stores import saved
+from gristmill.operators.graph import connected_components
+from gristmill.sources.stores import discard, saved, spread
 
 PERMUTATIONS, WIDTH = 128, 5
 #: The affine family is modulo this prime, so that products fit 62 bits.
 PRIME = (1 << 31) - 1
-#: Undecided rows that are finished on the driver (band keys only).
-FINISH = 20_000
+#: Rows that one task settles in order (their band keys only).
+FINISH = 200_000
+#: Rows that one task settles whatever is asked for.
+LEAST = 16
+#: Keys after which a task settles the whole components that it has.
+RUN = 100_000
 #: Bytes of texts that are worked on at once, so that temporaries stay in cache.
 BLOCK = 1 << 16
 
@@ -144,42 +148,125 @@ def _domain_keys(thresholds: dict[str, float], default: float):
     return run
 
 
-def greedy(keys: DataFrame, finish: int = FINISH) -> DataFrame:
-    """(seq) of the kept rows, from (seq, ...): rows with equal values in all other columns share a band.
+def _keys_of(keys: DataFrame) -> list[str]:
+    return [c for c in keys.columns if c not in ("seq", "_component", "_block")]
+
 
-    Each round settles the first row that is left at least, so it ends.
+def _in_order(by: list[str]):
+    """The sequential rule over runs of whole components; (seq) of the kept rows.
+
+    Rows of a run are few (see ``settled``): keys become numbers, and a flag for each says whether it is taken.
     """
-    left, by = saved(keys), [c for c in keys.columns if c != "seq"]
-    kept = []
-    while rows := left.select("seq").distinct().count():
-        if rows <= finish:
-            kept.append(_finished(left))
-            break
-        lead = left.groupBy(*by).agg(F.min("seq").alias("lead"))
-        marked = left.join(lead, by)
-        now = saved(marked.groupBy("seq").agg(F.min((F.col("lead") == F.col("seq")).cast("int")).alias("all")).where(F.col("all") == 1).select("seq"))
-        taken = left.join(now, "seq", "left_semi").select(*by).distinct()
-        gone = left.join(taken, by, "left_semi").select("seq").distinct()  # holds the kept rows too
-        kept.append(now)
-        left = saved(left.join(gone, "seq", "left_anti"))
-    out = keys.select("seq").limit(0) if not kept else kept[0]
-    for part in kept[1:]:
-        out = out.union(part)
-    return out
 
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        seq, key = table["seq"].to_numpy(), np.zeros(table.num_rows, np.int64)
+        for c in by:
+            code = pc.dictionary_encode(table[c].combine_chunks()).indices.to_numpy()
+            key = np.unique(key * (int(code.max()) + 1) + code, return_inverse=True)[1]
+        order = np.argsort(seq, kind="stable")
+        seq, key = seq[order], key[order].tolist()
+        starts = np.flatnonzero(np.concatenate(([True], seq[1:] != seq[:-1]))).tolist()
+        taken, kept = bytearray(len(key)), []
+        for lo, hi in zip(starts, [*starts[1:], len(key)], strict=True):
+            own = key[lo:hi]
+            if not any(taken[k] for k in own):
+                kept.append(lo)
+                for k in own:
+                    taken[k] = 1
+        return pa.RecordBatch.from_arrays([pa.array(seq[kept], table.schema.field("seq").type)], ["seq"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wait: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if "_component" in batch.schema.names and sum(w.num_rows for w in wait) > RUN:
+                # what lies before the last component that has begun is whole
+                last = wait[-1]["_component"][-1].as_py()
+                same = pc.equal(pa.concat_batches(wait)["_component"], last)
+                whole = pa.concat_batches(wait)
+                yield solve(pa.Table.from_batches([whole.filter(pc.invert(same))])) if pc.any(pc.invert(same)).as_py() else pa.RecordBatch.from_arrays([whole["seq"].slice(0, 0)], ["seq"])
+                wait = [whole.filter(same)]
+            wait.append(batch)
+        if wait:
+            yield solve(pa.Table.from_batches(wait))
+
+    return run
 
-def _finished(left: DataFrame) -> DataFrame:
-    """The sequential rule for a few rows: at most FINISH times the number of bands."""
-    rows: dict[int, list] = {}
-    for r in left.collect():
-        rows.setdefault(r["seq"], []).append(tuple(r[c] for c in left.columns if c != "seq"))
-    seen: set = set()
-    kept = []
-    for seq in sorted(rows):
-        if not seen.intersection(rows[seq]):
-            seen.update(rows[seq])
-            kept.append((seq,))
-    return left.sparkSession.createDataFrame(kept, left.select("seq").schema)
+
+def settled(part: DataFrame, finish: int = FINISH) -> DataFrame:
+    """(seq) of the rows of a saved table that the sequential rule keeps, when nothing is taken before them.
+
+    Only keys that several rows share matter. Where at most ``finish`` rows have one, a task goes through
+    them in order. More are cut into connected components, each within one task; if a component has more rows than
+    that, the first half of the order is settled before the other.
+    """
+    by = _keys_of(part)
+    shared = part.groupBy(*by).agg(F.min("seq").alias("_lead"), F.max("seq").alias("_last")).where("_lead < _last").drop("_last")
+    tied = saved(part.join(shared, by))
+    n = tied.select("seq").distinct().count()
+    free = part.select("seq").distinct()
+    if not n:
+        return free
+    free = free.join(tied.select("seq").distinct(), "seq", "left_anti")
+    kind = f"seq {part.schema['seq'].dataType.simpleString()}"
+    own = tied.select("seq", *by)
+    if n <= finish:
+        return free.unionByName(own.repartition(1).mapInArrow(_in_order(by), kind))
+    parts = saved(connected_components(tied.where("_lead < seq").select("seq", "_lead"), "_lead", "seq").select(F.col("node").alias("seq"), F.col("component").alias("_component")))
+    if parts.groupBy("_component").count().agg(F.max("count")).first()[0] <= finish:
+        dealt = own.join(parts, "seq").repartition("_component").sortWithinPartitions("_component")
+        return free.unionByName(dealt.mapInArrow(_in_order(by), kind))
+    middle = tied.select("seq").distinct().agg(F.percentile_approx("seq", 0.5, 1000)).first()[0]
+    early = saved(own.where(F.col("seq") <= middle))
+    kept = saved(settled(early, finish))
+    late = saved(_untaken(own.where(F.col("seq") > middle), early.join(kept, "seq", "left_semi").select(*by)))
+    return free.unionByName(kept).unionByName(settled(late, finish))
+
+
+def _untaken(part: DataFrame, taken: DataFrame) -> DataFrame:
+    """Rows of ``part`` (all their keys) of which no key is taken."""
+    gone = part.join(taken, _keys_of(part), "left_semi").select("seq").distinct()
+    return part.join(gone, "seq", "left_anti")
+
+
+def blocks(keys: DataFrame, finish: int = FINISH) -> list:
+    """Ends of blocks in order: about ``finish`` rows, then as many as all before, and so on."""
+    n = keys.select("seq").distinct().count()
+    shares, size = [], finish
+    while size < n:
+        shares.append(size / n)
+        size *= 2
+    if not shares:
+        return []
+    return sorted(set(keys.agg(F.percentile_approx("seq", F.array(*map(F.lit, shares)), 10_000)).first()[0]))
+
+
+def greedy(keys: DataFrame, finish: int = FINISH) -> DataFrame:
+    """(seq) of the kept rows, from (seq, ...): rows with equal values in all other columns share a band.
+
+    The order is worked on in blocks that double. A block first drops the rows that share a key with a row kept
+    before it, which are no more than the block's own, and what is left is settled within the block. So a key is read a
+    constant number of times, and there are as many blocks as the logarithm of the rows.
+    """
+    all_keys, by, finish = saved(keys), _keys_of(keys), max(finish, LEAST)
+    ends = blocks(all_keys, finish)
+    if not ends:
+        return settled(all_keys, finish)
+    number = F.lit(len(ends))
+    for n, end in reversed(list(enumerate(ends))):
+        number = F.when(F.col("seq") <= F.lit(end), F.lit(n)).otherwise(number)
+    dealt = saved(all_keys.withColumn("_block", number), "_block")
+    discard(all_keys)
+    kept = taken = None
+    for n in range(len(ends) + 1):
+        part = dealt.where(F.col("_block") == n).drop("_block")
+        part = saved(_untaken(part, taken)) if taken is not None else saved(part)
+        now = saved(settled(part, finish))
+        claims = saved(part.join(now, "seq", "left_semi").select(*by))
+        kept, taken = (now, claims) if kept is None else (kept.unionByName(now), taken.unionByName(claims))
+    discard(dealt)
+    return kept
 
 
 def near_dedup(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict[str, float], default: float = 0.8, finish: int = FINISH) -> DataFrame:
@@ -188,5 +275,5 @@ def near_dedup(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict
     One pass over the texts gives the keys of all domains; null texts count as empty ones.
     """
     own = df.select(F.col(seq).alias("seq"), F.col(text).alias("text"), F.col(domain).alias("domain"))
-    keys = own.mapInArrow(_domain_keys(thresholds, default), f"seq {own.schema['seq'].dataType.simpleString()}, band int, a long, b long")
+    keys = spread(own).mapInArrow(_domain_keys(thresholds, default), f"seq {own.schema['seq'].dataType.simpleString()}, band int, a long, b long")
     return df.join(greedy(keys, finish).withColumnRenamed("seq", seq), seq, "left_semi")

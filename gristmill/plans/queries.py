@@ -193,7 +193,43 @@ def nearest_centroid(spark, d):
 
 def kmeans_assign(spark, d):
     v = vectors(spark, d).withColumn("bucket", F.concat(F.lit("b"), F.pmod("vec_id", F.lit(2))))
-    return cluster.clustered(v, "bucket", {"b0": 4}, 6).select("vec_id", "bucket", "cluster_id", "cluster_size", "distance_to_centroid")
+    return cluster.clustered(v, "bucket", {"b0": 4}, 6, key="vec_id").select("vec_id", "bucket", "cluster_id", "cluster_size", "distance_to_centroid")
+
+
+#: All rounds of all seeds in one recursion; empty clusters get the farthest distinct vectors; means are of fixed-point numbers.
+KMEANS_SQL = """
+WITH RECURSIVE p0 AS (SELECT vec_id, 'b' || (vec_id % 2) AS bucket, embedding::DOUBLE[] AS x FROM embeddings),
+u AS (SELECT pow(2, 30 - floor(log2(max(m))) - 1) AS scale FROM (SELECT list_max(list_transform(x, lambda v: abs(v))) AS m FROM p0)),
+p AS MATERIALIZED (SELECT vec_id, bucket, x, list_transform(x, lambda v: floor(v * scale + 0.5)) AS w FROM p0, u),
+s AS (SELECT seed, bucket, x, min(md5(seed || '|' || vec_id)) AS place FROM p, (SELECT unnest([1, 2, 3]) AS seed) GROUP BY ALL),
+s1 AS (SELECT seed, bucket, x, row_number() OVER (PARTITION BY seed, bucket ORDER BY place) - 1 AS label FROM s),
+k AS (
+  SELECT 0 AS it, seed, bucket, label, x AS c, 1e9 AS shift FROM s1 WHERE label < CASE bucket WHEN 'b0' THEN 4 ELSE 6 END
+  UNION ALL
+  (WITH o AS (SELECT * FROM k WHERE shift >= 0.0001 AND it < 100),
+   a AS (SELECT o.seed, o.bucket, p.vec_id, min({'d': list_sum(list_transform(list_zip(p.x, o.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'l': o.label}) AS b
+         FROM o JOIN p USING (bucket) GROUP BY ALL),
+   t AS (SELECT seed, bucket, l, pos, sum(v)::DOUBLE AS v, count(*) AS n
+         FROM (SELECT a.seed, a.bucket, a.b.l AS l, unnest(p.w)::BIGINT AS v, generate_subscripts(p.w, 1) AS pos FROM a JOIN p USING (vec_id)) GROUP BY ALL),
+   m AS (SELECT seed, bucket, l, list(v / (n * scale) ORDER BY pos) AS c FROM t, u GROUP BY ALL),
+   e AS (SELECT seed, bucket, label, row_number() OVER (PARTITION BY seed, bucket ORDER BY label) AS nth FROM o WHERE NOT EXISTS (FROM m WHERE m.seed = o.seed AND m.bucket = o.bucket AND m.l = o.label)),
+   f AS (SELECT seed, bucket, x, row_number() OVER (PARTITION BY seed, bucket ORDER BY d DESC, x) AS nth
+         FROM (SELECT a.seed, a.bucket, p.x, max(a.b.d) AS d FROM a JOIN p USING (vec_id) GROUP BY ALL)),
+   n AS (SELECT o.it + 1 AS it, o.seed, o.bucket, o.label, coalesce(m.c, f.x, o.c) AS c, o.c AS old
+         FROM o LEFT JOIN m ON m.seed = o.seed AND m.bucket = o.bucket AND m.l = o.label
+         LEFT JOIN e ON e.seed = o.seed AND e.bucket = o.bucket AND e.label = o.label
+         LEFT JOIN f ON f.seed = o.seed AND f.bucket = o.bucket AND f.nth = e.nth)
+   SELECT it, seed, bucket, label, c, avg(list_distance(c, old)) OVER (PARTITION BY seed, bucket) AS shift FROM n)),
+z AS (SELECT * FROM k WHERE it = (SELECT max(it) FROM k j WHERE j.seed = k.seed AND j.bucket = k.bucket)),
+g AS (SELECT z.seed, z.bucket, p.vec_id, min({'d': list_sum(list_transform(list_zip(p.x, z.c), lambda y: (y[1] - y[2]) * (y[1] - y[2]))), 'l': z.label}) AS b
+      FROM z JOIN p USING (bucket) GROUP BY ALL),
+i AS (SELECT bucket, arg_min(seed, {'c': cost, 's': seed}) AS seed FROM (SELECT bucket, seed, sum(b.d) AS cost FROM g GROUP BY ALL) GROUP BY bucket),
+l AS MATERIALIZED (SELECT vec_id, bucket, g.b.l AS cluster_id FROM g JOIN i USING (bucket, seed)),
+q AS (SELECT bucket, cluster_id, list(v ORDER BY pos) AS c FROM (
+        SELECT bucket, cluster_id, pos, avg(v) AS v FROM (SELECT l.bucket, cluster_id, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM l JOIN p USING (vec_id)) GROUP BY ALL) GROUP BY ALL)
+SELECT vec_id, bucket, cluster_id, count(*) OVER (PARTITION BY bucket, cluster_id) AS cluster_size, round(list_distance(p.x, q.c), 6) AS distance_to_centroid
+FROM l JOIN p USING (vec_id, bucket) JOIN q USING (bucket, cluster_id)
+"""
 
 
 def sampled_rows(spark, d) -> DataFrame:
@@ -445,6 +481,7 @@ SELECT conv_id, instruction, length(reply) AS svg_len, CASE WHEN coalesce(instru
     "minhash_signatures": _minhash_sql("SELECT doc_id, array_to_string(sig, ',') AS sig FROM g"),
     "band_keys": _minhash_sql("SELECT doc_id, band, md5(array_to_string(sig[band * 13 + 1:band * 13 + 13], ',')) AS key FROM (SELECT doc_id, sig, unnest(range(0, 9))::INT AS band FROM g)"),
     "near_dedup_survivors": _survivors_sql(),
+    "kmeans_assign": KMEANS_SQL,
     "vector_normalise": f"WITH n AS (SELECT vec_id, embedding, {NORM.format(v='embedding')} AS n FROM embeddings) SELECT vec_id, round(embedding[1]::DOUBLE / n, 6) AS first, round(sqrt(list_sum(list_transform(embedding, lambda x: power(x::DOUBLE / n, 2)))), 6) AS norm FROM n",
     "vector_truncate": f"WITH n AS (SELECT vec_id, {D32} AS v FROM embeddings), m AS (SELECT *, {NORM.format(v='v')} AS n FROM n) SELECT vec_id, 32 AS dim, round(v[1] / n, 6) AS first, round(v[32] / n, 6) AS last FROM m",
     "embed_stub": "SELECT doc_id AS id, 16 AS dim, 0.0::DOUBLE AS total FROM documents",

@@ -22,11 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or os.path.join(tempfile.gettempdir(), "gristmill-shared")
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs at most the tasks that were running, and
-    branches that use the table twice don't compute it twice.
+    branches that use the table twice don't compute it twice. Values of ``by`` (few) get folders of
+    their own, so that who reads one value reads no other.
     """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{uuid.uuid4().hex}"
@@ -34,7 +35,7 @@ def saved(df: DataFrame) -> DataFrame:
     if not 0 < int(was) <= BATCH:
         spark.conf.set(BATCH_SETTING, str(BATCH))
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     finally:
         if spark.conf.get(BATCH_SETTING, was) != was:
             spark.conf.set(BATCH_SETTING, was)
@@ -43,6 +44,17 @@ def saved(df: DataFrame) -> DataFrame:
     return made
 
 
+#: Bytes of a table that is small for its readers' CPU time, whatever its files are like.
+SMALL = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if the plan says that it is small; a small file may be one row group, thus one task."""
+    if df.isStreaming or int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _folder(spark: SparkSession) -> str:
     """The folder of this application's tables; it goes when the driver ends, if nobody drops it before."""
     path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}"

@@ -82,3 +82,38 @@ def test_signature_estimates_likeness():
     a, b = "the quick brown fox " * 3 + "x" * 40, "the quick brown fox " * 3 + "y" * 40
     x, y = set(lsh.byte_shingles(a).tolist()), set(lsh.byte_shingles(b).tolist())
     assert abs(np.mean(lsh.signature(a) == lsh.signature(b)) - len(x & y) / len(x | y)) < 0.15
+
+
+def in_order(rows):
+    """The sequential rule on (seq, key) rows."""
+    own, taken, kept = {}, set(), []
+    for seq, key in rows:
+        own.setdefault(seq, set()).add(key)
+    for seq in sorted(own):
+        if not own[seq] & taken:
+            taken |= own[seq]
+            kept.append(seq)
+    return kept
+
+
+@pytest.mark.parametrize("finish", [16, 60, 10_000])
+def test_blocks_components_and_halves_equal_the_sequential_rule(spark, finish):
+    rng = random.Random(5)
+    rows = [(i, rng.randrange(250)) for i in range(300) for _ in range(2)] + [(i, 1000 + i // 2 * 2 + d) for i in range(0, 40) for d in (0, 2)] + [(i, -1) for i in range(100, 300, 3)]
+    rng.shuffle(rows)
+    keys = spark.createDataFrame([(s, k, f"x{k % 3}") for s, k in rows], "seq long, a long, b string")
+    assert sorted(r.seq for r in lsh.greedy(keys, finish).collect()) == in_order(rows)
+
+
+def test_a_long_chain_takes_few_jobs(spark):
+    n = 100_000
+    keys = spark.range(n).selectExpr("id as seq", "explode(array(id, id + 1)) as key")
+    got = [r.seq for r in lsh.greedy(keys, 30_000).orderBy("seq").collect()]
+    assert got == list(range(0, n, 2))
+    ends = lsh.blocks(keys, 30_000)
+    assert len(ends) == 2 and abs(ends[0] - 30_000) < 200
+
+
+def test_greedy_on_nothing_and_repeated_rows(spark):
+    assert lsh.greedy(spark.createDataFrame([], "seq long, key long")).collect() == []
+    assert [r.seq for r in lsh.greedy(spark.createDataFrame([(2, 5), (2, 5), (1, 5), (1, 6), (3, 6), (3, 7), (4, 7)], "seq long, key long")).orderBy("seq").collect()] == [1, 4]
