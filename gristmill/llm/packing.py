@@ -18,7 +18,7 @@ null ids are allowed; an empty table gives an empty result; extra columns don't
 
 from __future__ import annotations
 
-import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gristmill.llm.bpe import Merges, gather
 from gristmill.llm.text import RUN, WORD_BYTES, buffers, runs, tidy
 from gristmill.sources.stores import saved
 
 WINDOW, END = 4096, 2
 #: Cells at least that the pieces of one length are ranked in, and pieces in a cell where there are more.
 SALTS, CELL = 256, 1_000_000
-#: Chunks and words whose ids a task remembers; a worker keeps the words that come often for its next task.
-REMEMBER, WORDS = 200_000, 200_000
+#: Symbols of words that are merged together; a longer word is a part of its own.
+SYMBOLS = 1 << 16
 #: Chunks of these characters alone are cut into words here, as the vocabulary's own rule does; all
 #: others, and those with what may be a special token, go through the tokenizer as they are.
 PLAIN = re.compile(r"[\x00-\x09\x0b-\x1b\x20-\x84\x86-\x9f\xa1-\xff]*")
@@ -48,115 +49,60 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 SMALL = 8 << 20
 
 
-class Table:
-    """Growing lists of ids, flat."""
-
-    def __init__(self):
-        self.flat, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
-
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """New entries: their ids one after the other, and the number of each."""
-        at = self.starts[self.n]
-        while at + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while self.n + len(sizes) >= len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-        self.flat[at : at + len(ids)] = ids
-        self.starts[self.n + 1 : self.n + 1 + len(sizes)] = at + np.cumsum(sizes)
-        self.n += len(sizes)
-
-    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of entries one after the other, and the number of each."""
-        s = self.starts[at]
-        n = self.starts[at + 1] - s
-        if not len(at):
-            return self.flat[:0], n
-        return self.flat[np.repeat(s - np.concatenate(([0], np.cumsum(n[:-1]))), n) + np.arange(n.sum())], n
-
-
 class Encoder:
-    """Token ids of white-space separated chunks, each distinct chunk encoded once.
+    """Token ids of white-space separated chunks, each distinct chunk and word of a run of texts encoded once.
 
     The vocabulary drops white space and never joins text across it, so a text's ids are those of
-    its chunks in order, and a chunk's those of its words. New words are encoded many at a time; a
-    word's last id is one of those that end words.
+    its chunks in order, and a chunk's those of its words. Distinct words of a run are merged together in flat
+    arrays (``bpe``); nothing is kept from run to run.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        ends = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(ends.values()) + 1, bool)
-        self.ends[[i for t, i in ends.items() if t.endswith("</w>")]] = True
-        self.forget()
-        self.forget_words()
-
-    def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.chunks = Table()
-
-    def forget_words(self) -> None:
-        self.word_index: dict[str, int] = {"\n": 0}
-        self.words, self.seen = Table(), np.zeros(1, np.int64)
-        self.words.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
-
-    def forget_rare_words(self) -> None:
-        """Keep the words that came in two batches at least, or in one since they were kept."""
-        often = np.flatnonzero(self.seen > 1)
-        often = often[often > 0]
-        names = list(self.word_index)
-        kept, (ids, n) = [names[i] for i in often.tolist()], self.words.gather(often)
-        ids = ids.copy()
-        self.forget_words()
-        self.words.add(ids, n)
-        self.word_index.update(zip(kept, range(1, len(kept) + 1), strict=True))
-        self.seen = np.ones(len(kept) + 1, np.int64)
-
-    def learn_words(self, new: list[str]) -> None:
-        for lo in range(0, len(new), 2000):
-            part = new[lo : lo + 2000]
-            # one text, and no offsets are asked for
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):  # a word that isn't what it seems: one at a time
-                made = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
-                ids, stops = np.array([i for m in made for i in m], np.uint32), np.cumsum([len(m) for m in made])
-            self.words.add(ids, np.diff(stops, prepend=0))
-            self.word_index.update(zip(part, range(len(self.word_index), len(self.word_index) + len(part)), strict=True))
-
-    def learn(self, chunks: list[bytes]) -> None:
-        if len(self.word_index) > WORDS:
-            self.forget_words()
-        texts = [c.decode() for c in chunks]
+        self.path, self.tokenizer = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as f:
+            self.merges = Merges(json.load(f)["model"])
+
+    def by_library(self, text: str) -> np.ndarray:
+        if self.tokenizer is None:  # few texts need it
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain chunks one after the other, and the number of each."""
+        names = pa.array(WORD.findall("\n".join(chunks).lower()), pa.string()).dictionary_encode()
+        at = names.indices.to_numpy()
+        data, offs = buffers(names.dictionary)
+        parts = [self.merges.merged(data[offs[lo] : offs[hi]], np.diff(offs[lo : hi + 1])) for lo, hi in runs(offs, SYMBOLS)]
+        flat, n = (np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        line, begin = names.dictionary.index("\n").as_py(), np.cumsum(n) - n
+        if line >= 0:  # between chunks
+            n[line] = 0
+        n = n[at]
+        total = np.concatenate(([0], np.cumsum(n)))
+        ends = np.append(np.flatnonzero(at == line), len(at))
+        return gather(flat, begin[at], n).astype(np.uint32), np.diff(total[ends], prepend=0)
+
+    def chunks(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks in some order, the number of each, and where each begins."""
+        texts = [c.decode() for c in names]
         whole = "\r".join(texts)
-        plain = [True] * len(texts) if "<|" not in whole and PLAIN.fullmatch(whole) else ["<|" not in t and bool(PLAIN.fullmatch(t)) for t in texts]
-        own = [t for t, p in zip(texts, plain, strict=True) if p]
-        if own:
-            words = WORD.findall("\n".join(own).lower())
-            at = np.fromiter(map(self.word_index.get, words, itertools.repeat(-1)), np.int64, len(words))
-            new = np.flatnonzero(at < 0)
-            if len(new):
-                missing = [words[i] for i in new.tolist()]
-                self.learn_words(list(dict.fromkeys(missing)))
-                at[new] = np.fromiter(map(self.word_index.__getitem__, missing), np.int64, len(new))
-            found = np.unique(at)
-            self.seen = np.concatenate((self.seen, np.zeros(len(self.word_index) - len(self.seen), np.int64)))
-            self.seen[found] += 1
-            ids, n = self.words.gather(at)
-            ends = np.concatenate((np.flatnonzero(at == 0), [len(at)]))
-            total = np.concatenate(([0], np.cumsum(n)))
-            self.chunks.add(ids, np.diff(total[ends], prepend=0))
-        for t in (t for t, p in zip(texts, plain, strict=True) if not p):
-            ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-            self.chunks.add(np.array(ids, np.uint32), np.array([len(ids)]))
-        order = [c for c, p in zip(chunks, plain, strict=True) if p] + [c for c, p in zip(chunks, plain, strict=True) if not p]
-        self.index.update(zip(order, range(len(self.index), len(self.index) + len(order)), strict=True))
+        plain = np.ones(len(texts), bool) if "<|" not in whole and PLAIN.fullmatch(whole) else np.array(["<|" not in t and bool(PLAIN.fullmatch(t)) for t in texts], bool)
+        n, parts = np.zeros(len(texts), np.int64), []
+        if plain.any():
+            ids, n[plain] = self.words([t for t, p in zip(texts, plain.tolist(), strict=True) if p])
+            parts.append(ids)
+        for r in np.flatnonzero(~plain).tolist():
+            parts.append(self.by_library(texts[r]))
+            n[r] = len(parts[-1])
+        begin = np.zeros(len(texts), np.int64)
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        begin[order] = np.cumsum(n[order]) - n[order]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), n, begin
 
     def encode(self, b: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
         """Ids of each text, b[cuts[i] : cuts[i + 1]] in UTF-8, with the end token."""
-        if len(self.index) > REMEMBER:
-            self.forget()
         inside = WORD_BYTES[b]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
@@ -164,17 +110,12 @@ class Encoder:
         first[begin] |= inside[begin]
         starts = np.flatnonzero(first)
         offsets = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)).astype(np.int32)
-        # equal chunks of these texts are found by Arrow, so only distinct ones are looked up here
+        # equal chunks of these texts are found by Arrow
         chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(b[inside])]).dictionary_encode()
-        names = chunks.dictionary.to_pylist()
-        at = np.fromiter(map(self.index.get, names, itertools.repeat(-1)), np.int64, len(names))
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            missing = [names[i] for i in new.tolist()]
-            self.learn(missing)
-            at[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
-        ids, n = self.chunks.gather(at[chunks.indices.to_numpy()])
-        ends = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(starts, cuts)]
+        ids, n, begin = self.chunks(chunks.dictionary.to_pylist())
+        at = chunks.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(n[at])))[np.searchsorted(starts, cuts)]
+        ids = gather(ids, begin[at], n[at])
         return [np.append(ids[s:e], np.uint32(END)) for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
@@ -184,27 +125,13 @@ _encoders: dict[str, Encoder] = {}
 def encoded(vocabulary: str, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ids) of each text."""
     if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
+        _encoders[vocabulary] = Encoder(vocabulary)  # merges alone, a few MB
     encoder = _encoders[vocabulary]
     data, offs = buffers(texts)
-    for lo, hi in runs(offs, 8 * RUN):
+    for lo, hi in runs(offs, 16 * RUN):
         yield from enumerate(encoder.encode(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]), lo)
 
 
-def forgetting(run):
-    """A batch function that drops what its task remembered but the frequent words."""
-
-    def forgot(batches):
-        try:
-            yield from run(batches)
-        finally:
-            for encoder in _encoders.values():
-                encoder.forget()
-                encoder.forget_rare_words()
-
-    return tidy(forgot)
-
-
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
@@ -228,7 +155,7 @@ def _pieces(vocabulary: str, window: int):
             numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()).take(at), batch["text_hash"].take(at), *numbers], ["doc_id", "text_hash", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return forgetting(run)
+    return tidy(run)
 
 
 def fill(counts: dict[int, int], room: int) -> tuple[int, dict[int, int]]:
@@ -358,7 +285,7 @@ def _again(vocabulary: str):
                 own = [b[c].take(pa.array(np.full(len(crc), r))) for c in ("doc_id", "text_hash")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "text_hash", "start", "length", "crc"])
 
-    return forgetting(run)
+    return tidy(run)
 
 
 def packed(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:

@@ -1,11 +1,7 @@
 """Token counts of byte-level BPE by rank-synchronous merging of arrays.
 
-Texts are cut into pre-tokens by the vocabulary's own rule, and equal pre-tokens of a batch are merged once.
-All distinct ones lie end to end in one flat array of symbols. A round looks up the rank of every
-neighbouring pair, takes each sequence's lowest and applies it everywhere in that sequence at once; of
-pairs that overlap (as in "aaa") every second one counts, from the left. Sequences without a known pair leave the array, and
-the symbols that survive are the tokens. A merged pair's rank is lower than that of any pair its result can be part of,
-so this takes the same merges in the same order as one at a time.
+Texts are cut into pre-tokens by the vocabulary's own rule, and equal pre-tokens of a batch are merged once,
+all distinct ones together in flat arrays (``bpe``). The symbols that survive are counted.
 
 What a batch needs is bounded: texts are worked on in runs of rows of RUN bytes (a longer text is a run of its own), and
 nothing is kept from run to run.
@@ -25,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.llm.bpe import Merges
 from gristmill.llm.text import buffers, runs, tidy
 
 LIMIT = 512
@@ -36,38 +33,21 @@ SYMBOLS = 1 << 16
 RULE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Blocks of characters whose kind doesn't differ between versions of Unicode; texts with others are cut by the tokenizer itself.
 SETTLED = regex.compile(r"[\x00-՗֐-࡯ऀ-௿ഀ-⁯₠-Ꟁ가-￿\U0001F000-\U0001FAFF\U00020000-\U0002B700]*")
-#: The rank of no pair.
-NONE = np.int32(np.iinfo(np.int32).max)
 
 
 class Vocabulary:
-    """Merge ranks as sorted pair keys, symbols of bytes, and what the special tokens are called."""
+    """Merges, what the special tokens are called, and the tokenizer's own way to cut texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        ids = model["model"]["vocab"]
-        pairs = [p if isinstance(p, list) else p.split(" ") for p in model["model"]["merges"]]
-        left, right, made = (np.array([ids[x] for x in part], np.int64) for part in ([p[0] for p in pairs], [p[1] for p in pairs], ["".join(p) for p in pairs]))
-        self.size = max(ids.values()) + 1
-        keys = left * self.size + right
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rank, self.made = keys[order].astype(np.uint32 if self.size < 1 << 16 else np.int64), order.astype(np.int32), made.astype(np.int32)
-        self.symbol = np.array([ids[c] for c in byte_names()], np.int32)
-        self.first = self.ranks(np.repeat(self.symbol, 256), np.tile(self.symbol, 256))  # of two bytes
+        self.merges = Merges(model["model"])
         specials = [t["content"] for t in model["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.cut_by_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
 
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of each pair; a negative right symbol is none."""
-        kind = self.keys.dtype.type
-        key = left.astype(kind) * kind(self.size) + right.astype(kind)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (right >= 0), self.rank[at], NONE)
-
     def cut(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of a text, and how many special tokens stand between them."""
         parts = self.special.split(text) if self.special else [text]
@@ -80,61 +60,6 @@ class Vocabulary:
         return out, len(parts) - 1
 
 
-def byte_names() -> list[str]:
-    """The character that stands for each byte: itself where it can be printed, else the next one from U+0100."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
-
-
-def survivors(vocabulary: Vocabulary, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """How many symbols each sequence of bytes has after all merges; the sequences lie end to end, none is empty."""
-    counts = sizes.astype(np.int64)
-    name = np.arange(len(sizes))
-    last = np.cumsum(sizes) - 1
-    symbols = vocabulary.symbol[data]
-    rank = np.append(vocabulary.first[data[:-1].astype(np.int32) << 8 | data[1:]], NONE)
-    rank[last] = NONE  # no pair crosses a sequence's end
-    while len(name):
-        starts = last - sizes + 1
-        low = np.minimum.reduceat(rank, starts)
-        live = low < NONE
-        if not live.all():  # sequences that are done leave
-            stay = np.repeat(live, sizes)
-            symbols, rank = symbols[stay], rank[stay]
-            counts[name[~live]] = sizes[~live]
-            name, sizes, low = name[live], sizes[live], low[live]
-            last = np.cumsum(sizes) - 1
-            if not len(name):
-                break
-        hit = np.flatnonzero(rank == np.repeat(low, sizes))
-        # in a run of neighbours that overlap, the first, third, ... are merged
-        fresh = np.ones(len(hit), bool)
-        fresh[1:] = hit[1:] != hit[:-1] + 1
-        begin = np.flatnonzero(fresh)
-        place = np.arange(len(hit)) - np.repeat(begin, np.diff(np.append(begin, len(hit))))
-        hit = hit[place % 2 == 0]
-        symbols[hit] = vocabulary.made[rank[hit]]
-        stay = np.ones(len(symbols), bool)
-        stay[hit + 1] = False
-        owner = np.searchsorted(last, hit)
-        symbols, rank = symbols[stay], rank[stay]
-        sizes = sizes - np.bincount(owner, minlength=len(sizes))
-        last = np.cumsum(sizes) - 1
-        # only pairs that hold a merged symbol are looked up again
-        at = hit - np.arange(len(hit))
-        again = np.zeros(len(symbols), bool)
-        again[at] = True
-        again[at[at > 0] - 1] = True
-        at = np.flatnonzero(again)
-        other = np.where(at + 1 < len(symbols), symbols[np.minimum(at + 1, len(symbols) - 1)], -1)
-        ends = np.zeros(len(symbols), bool)
-        ends[last] = True
-        other[ends[at]] = -1
-        rank[at] = vocabulary.ranks(symbols[at], other)
-    return counts
-
-
 def merged_counts(vocabulary: Vocabulary, distinct: pa.Array) -> np.ndarray:
     """Tokens of each of some distinct pre-tokens (a string array), in parts of about SYMBOLS symbols."""
     data, offs = buffers(distinct)
@@ -143,7 +68,7 @@ def merged_counts(vocabulary: Vocabulary, distinct: pa.Array) -> np.ndarray:
         own = np.diff(offs[lo : hi + 1])
         full = np.flatnonzero(own > 0)
         if len(full):
-            out[lo + full] = survivors(vocabulary, data[offs[lo] : offs[hi]], own[full])
+            out[lo + full] = vocabulary.merges.merged(data[offs[lo] : offs[hi]], own[full], whole=False)[1]
     return out
 
 
