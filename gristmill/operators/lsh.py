@@ -220,11 +220,11 @@ def settled(part: DataFrame, finish: int = FINISH) -> DataFrame:
     middle = tied.select("seq").distinct().agg(F.percentile_approx("seq", 0.5, 1000)).first()[0]
     early = saved(own.where(F.col("seq") <= middle))
     kept = saved(settled(early, finish))
-    late = saved(_untaken(own.where(F.col("seq") > middle), early.join(kept, "seq", "left_semi").select(*by)))
+    late = saved(untaken(own.where(F.col("seq") > middle), early.join(kept, "seq", "left_semi").select(*by)))
     return free.unionByName(kept).unionByName(settled(late, finish))
 
 
-def _untaken(part: DataFrame, taken: DataFrame) -> DataFrame:
+def untaken(part: DataFrame, taken: DataFrame) -> DataFrame:
     """Rows of ``part`` (all their keys) of which no key is taken."""
     gone = part.join(taken, _keys_of(part), "left_semi").select("seq").distinct()
     return part.join(gone, "seq", "left_anti")
@@ -261,7 +261,7 @@ def greedy(keys: DataFrame, finish: int = FINISH) -> DataFrame:
     kept = taken = None
     for n in range(len(ends) + 1):
         part = dealt.where(F.col("_block") == n).drop("_block")
-        part = saved(_untaken(part, taken)) if taken is not None else saved(part)
+        part = saved(untaken(part, taken)) if taken is not None else saved(part)
         now = saved(settled(part, finish))
         claims = saved(part.join(now, "seq", "left_semi").select(*by))
         kept, taken = (now, claims) if kept is None else (kept.unionByName(now), taken.unionByName(claims))
@@ -269,11 +269,13 @@ def greedy(keys: DataFrame, finish: int = FINISH) -> DataFrame:
     return kept
 
 
-def near_dedup(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict[str, float], default: float = 0.8, finish: int = FINISH) -> DataFrame:
-    """Rows of ``df`` that survive, each domain for itself; domains that aren't named get the default.
-
-    One pass over the texts gives the keys of all domains; null texts count as empty ones.
-    """
+def domain_keys(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict[str, float], default: float = 0.8) -> DataFrame:
+    """(seq, band, a, b) of all domains in one pass over the texts; null texts count as empty ones."""
     own = df.select(F.col(seq).alias("seq"), F.col(text).alias("text"), F.col(domain).alias("domain"))
-    keys = spread(own).mapInArrow(_domain_keys(thresholds, default), f"seq {own.schema['seq'].dataType.simpleString()}, band int, a long, b long")
+    return spread(own).mapInArrow(_domain_keys(thresholds, default), f"seq {own.schema['seq'].dataType.simpleString()}, band int, a long, b long")
+
+
+def near_dedup(df: DataFrame, seq: str, text: str, domain: str, thresholds: dict[str, float], default: float = 0.8, finish: int = FINISH) -> DataFrame:
+    """Rows of ``df`` that survive, each domain for itself; domains that aren't named get the default."""
+    keys = domain_keys(df, seq, text, domain, thresholds, default)
     return df.join(greedy(keys, finish).withColumnRenamed("seq", seq), seq, "left_semi")
