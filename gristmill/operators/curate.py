@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import MIN_LENGTH, clean_text
+from gristmill.operators.quantile import percentiles
 from gristmill.sources.stores import saved, spread
 
 
@@ -49,8 +50,8 @@ def exact_dedup_stats(df: DataFrame, text: str, priority: Column, seq: str) -> D
 
 def cutoffs(df: DataFrame, group: str, length: str, bottom: float, groups: list[str]) -> DataFrame:
     """(group, cutoff): the exact interpolated percentile of the groups that are filtered, cut to an integer."""
-    picked = df.where(F.col(group).isin(groups))
-    return picked.groupBy(group).agg(F.percentile(length, F.lit(bottom)).cast("long").alias("cutoff"))
+    picked = df.where(F.col(group).isin(groups)).select(group, length)
+    return percentiles(picked, [group], length, bottom, "cutoff").withColumn("cutoff", F.col("cutoff").cast("long"))
 
 
 def complexity_filter(df: DataFrame, group: str, length: str, bottom: float, groups: list[str]) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gristmill.operators.quantile import percentiles
+from gristmill.sources.stores import saved
+
 
 def profile(records: DataFrame) -> DataFrame:
     """One row: counts and the sorted distinct roles, item types, formats and prompts of chat records."""
@@ -29,8 +32,10 @@ def funnel(stages: list[tuple[str, DataFrame]], lag: bool = True) -> DataFrame:
 
 def numbers(df: DataFrame, column: str) -> DataFrame:
     """mean, median, sample standard deviation (0 for one row), min and max."""
-    c = F.col(column)
-    return df.agg(F.avg(c).alias("mean"), F.median(c).alias("median"), F.coalesce(F.nullif(F.stddev_samp(c), F.lit(float("nan"))), F.lit(0.0)).alias("stdev"), F.min(c).alias("min"), F.max(c).alias("max"))
+    c, own = F.col(column), saved(df.select(column))
+    middle = percentiles(own, [], column, 0.5, "median")  # one row, or none
+    rest = own.agg(F.avg(c).alias("mean"), F.coalesce(F.nullif(F.stddev_samp(c), F.lit(float("nan"))), F.lit(0.0)).alias("stdev"), F.min(c).alias("min"), F.max(c).alias("max"))
+    return rest.join(F.broadcast(middle), how="left").select("mean", "median", "stdev", "min", "max")
 
 
 def mix(df: DataFrame, by: str) -> DataFrame:
