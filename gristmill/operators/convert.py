@@ -12,6 +12,8 @@ from gristmill.functions.text import extension_type, strip
 IMAGE, MARK = "<image>", "Instruction:"
 FORMATS = ["image/jpeg", "image/png"]
 PROMPTS = {"sft": [""], "pretrain": ["", ""]}
+#: What the inner parts of items are called.
+TEXT_TYPE, TEXT_FORMAT, IMAGE_TYPE = "string", "utf-8", "relative_path"
 #: Fixed value: what follows the instruction's mark in a raw prompt.
 TAIL = r'(?s)Instruction:\s*"?(.*?)"?\s*$'
 
@@ -30,12 +32,12 @@ def image_first(prompt: Column) -> Column:
 
 
 def text_item(text: Column) -> Column:
-    inner = F.struct(F.lit("text").alias("type"), F.lit("text/plain").alias("format"), text.alias("string"))
+    inner = F.struct(F.lit(TEXT_TYPE).alias("type"), F.lit(TEXT_FORMAT).alias("format"), text.alias("string"))
     return F.struct(F.lit("text").alias("type"), inner.alias("text"), F.lit(None).cast(schema.ITEM["image"].dataType).alias("image")).cast(schema.ITEM)
 
 
 def image_item(path: Column) -> Column:
-    inner = F.struct(F.lit("image").alias("type"), extension_type(path).alias("format"), path.alias("relative_path"), F.lit(0).alias("width"), F.lit(0).alias("height"))
+    inner = F.struct(F.lit(IMAGE_TYPE).alias("type"), extension_type(path).alias("format"), path.alias("relative_path"), F.lit(0).alias("width"), F.lit(0).alias("height"))
     return F.struct(F.lit("image").alias("type"), F.lit(None).cast(schema.ITEM["text"].dataType).alias("text"), inner.alias("image")).cast(schema.ITEM)
 
 
@@ -69,6 +71,75 @@ def fault(data: Column, prompts: Column) -> Column:
     )
 
 
+def kind(v: Column, path: str) -> Column:
+    """The type of a leaf of a record: OBJECT, ARRAY, STRING, BIGINT, BOOLEAN, VOID (a null) and so on; null where it is missing."""
+    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
+
+
+def _is(v: Column, path: str, *values: str) -> Column:
+    """The part is a string and one of some values."""
+    return F.coalesce((kind(v, path) == "STRING") & F.try_variant_get(v, path, "string").isin(*values), F.lit(False))
+
+
+def _typed_item_faults(content: Column, images: bool) -> Column:
+    """What is wrong with each item of a turn's content that isn't right."""
+    return F.filter(F.transform(content, lambda item: _typed_item_fault(item, images)), lambda x: x.isNotNull())
+
+
+def _typed_item_fault(item: Column, images: bool) -> Column:
+    number = lambda path: F.coalesce(kind(item, path).isin("BIGINT", "BOOLEAN"), F.lit(False))
+    text = (
+        F.when(~_is(item, "$.text.type", TEXT_TYPE), f"text.type is not {TEXT_TYPE}")
+        .when(~_is(item, "$.text.format", TEXT_FORMAT), f"text.format is not {TEXT_FORMAT}")
+        .when(~F.coalesce(kind(item, "$.text.string") == "STRING", F.lit(False)), "text.string is no string")
+    )
+    image = F.when(F.lit(not images), "image where none may be")
+    image = (
+        image.when(~_is(item, "$.image.type", IMAGE_TYPE), f"image.type is not {IMAGE_TYPE}")
+        .when(~_is(item, "$.image.format", *FORMATS), "image.format is not known")
+        .when(~F.coalesce((kind(item, "$.image.relative_path") == "STRING") & (F.try_variant_get(item, "$.image.relative_path", "string") != ""), F.lit(False)), "image.relative_path is no path")
+        .when(~number("$.image.width"), "image.width is no integer")
+        .when(~number("$.image.height"), "image.height is no integer")
+    )
+    return F.when(_is(item, "$.type", "text"), text).when(_is(item, "$.type", "image"), image).otherwise("item type is not known")
+
+
+def typed_fault(v: Column) -> Column:
+    """The first thing wrong with a record of any shape, null if nothing is.
+
+    ``v`` is a VARIANT column (made by ``try_parse_json`` in a projection before, so it is parsed once), and a part of the wrong type isn't the same as a missing one.
+    Parts are looked at in the order of a record: prompt and data, then each turn's role, content and items.
+    """
+    prompt, turns = F.try_variant_get(v, "$.meta_prompt", "array<variant>"), F.try_variant_get(v, "$.data", "array<variant>")
+    blank = F.size(prompt).between(1, 2) & F.forall(prompt, lambda p: _is(p, "$", ""))
+    there = lambda path, of: F.try_variant_get(v, path, of).isNotNull()
+    list_of = lambda path: there(path, "array<variant>")
+    out = (
+        F.when(~there("$", "map<string,variant>"), "record is no object")
+        .when(~there("$.meta_prompt", "variant"), "meta_prompt is missing")
+        .when(~there("$.data", "variant"), "data is missing")
+        .when(~list_of("$.meta_prompt"), "meta_prompt is no list")
+        .when(~F.coalesce(blank, F.lit(False)), "meta_prompt is not known")
+        .when(~F.coalesce(list_of("$.data") & (F.size(turns) == 2), F.lit(False)), "data is not two turns")
+    )
+    for n, role in enumerate(("user", "assistant")):
+        own = f"$.data[{n}]"
+        content = F.try_variant_get(v, f"{own}.content", "array<variant>")
+        faults = _typed_item_faults(content, images=n == 0)
+        out = (
+            out.when(~_is(v, f"{own}.role", role), f"data[{n}].role is not {role}")
+            .when(~F.coalesce(list_of(f"{own}.content") & (F.size(content) > 0), F.lit(False)), f"data[{n}].content is no list with items")
+            .when(F.size(faults) > 0, F.concat(F.lit(f"data[{n}]: "), F.try_element_at(faults, F.lit(1))))
+        )
+    return out
+
+
+def shapes(records: DataFrame, line: str) -> DataFrame:
+    """(rows, rejects, shape) of JSON lines: how many there are, how many can't be read, and the schema that fits the rest."""
+    v = F.try_parse_json(line)
+    return records.agg(F.count(line).alias("rows"), F.count_if(F.col(line).isNotNull() & v.isNull()).alias("rejects"), F.schema_of_variant_agg(v).alias("shape"))
+
+
 def converted(raw: DataFrame, mode: str = "sft", prefix: str = "") -> DataFrame:
     """``raw`` with meta_prompt, data, skip_reason (null where the record is good) and warning.
 

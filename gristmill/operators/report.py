@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +24,62 @@ def profile(records: DataFrame) -> DataFrame:
     )
 
 
+SETS = ("roles", "types", "formats", "prompts")
+
+
+def _partial(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's counts and distinct values in one row, and its ``n`` lines of the smallest places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = rejects = 0
+        sets: dict[str, set] = {c: set() for c in SETS}
+        best = pa.table({"place": pa.array([], pa.string()), "line": pa.array([], pa.string())})
+        for batch in batches:
+            bad = batch["bad"]
+            rows += batch.num_rows
+            rejects += pc.sum(bad.cast(pa.int64())).as_py() or 0
+            for c in SETS:
+                sets[c].update(v for v in pc.unique(batch[c].flatten()).to_pylist() if v)
+            good = pa.table({c: batch[c] for c in ("place", "line")}).filter(pc.invert(bad))
+            best = pa.concat_tables([best, good.cast(best.schema)]).sort_by([("place", "ascending"), ("line", "ascending")]).slice(0, n)
+        whole = {"rows": [rows], "rejects": [rejects], **{c: [sorted(sets[c])] for c in SETS}, "place": [None], "line": [None]}
+        picked = {"rows": [None] * len(best), "rejects": [None] * len(best), **{c: [None] * len(best) for c in SETS}, "place": best["place"].to_pylist(), "line": best["line"].to_pylist()}
+        kind = pa.schema([("rows", pa.int64()), ("rejects", pa.int64()), *((c, pa.list_(pa.string())) for c in SETS), ("place", pa.string()), ("line", pa.string())])
+        for part in (whole, picked):
+            yield pa.RecordBatch.from_pydict(part, kind)
+
+    return run
+
+
+def viewed(lines: DataFrame, n: int, seed: int | str = 42, line: str = "value", key: str = "$.id") -> tuple[DataFrame, DataFrame]:
+    """What a viewer shows of JSON lines of chat records, from one scan of them.
+
+    First one row: rows and rejects (lines that can't be read), the distinct roles, item types, image formats and prompts in order (a prompt's parts
+    joined by |), has_image and has_video. Then a sample: (place, line) of the n lines of the smallest md5(seed || key), in that order.
+    Blank and null lines don't count. Records of any shape can be read: what isn't there has no values. Each task keeps n lines at most.
+    """
+    v = F.try_parse_json(line)
+    own = lines.where(F.length(F.trim(line)) > 0).select(F.col(line).alias("line"), v.alias("v"))
+    every = lambda of, path: F.transform(of, lambda x: F.try_variant_get(x, path, "string"))
+    turns = F.coalesce(F.try_variant_get("v", "$.data", "array<variant>"), F.array().cast("array<variant>"))
+    own = own.select("line", "v", turns.alias("turns"))
+    items = F.flatten(F.transform("turns", lambda t: F.coalesce(F.try_variant_get(t, "$.content", "array<variant>"), F.array().cast("array<variant>"))))
+    own = own.select("line", "v", "turns", items.alias("items"))
+    place = F.md5(F.concat(F.lit(str(seed)), F.coalesce(F.try_variant_get("v", key, "string"), F.lit(""))))
+    images = F.filter("items", lambda x: F.try_variant_get(x, "$.type", "string") == "image")
+    prompt = F.array_join(F.try_variant_get("v", "$.meta_prompt", "array<string>"), "|")
+    ready = own.select(
+        "line", F.col("v").isNull().alias("bad"), place.alias("place"), F.array_distinct(every(F.col("turns"), "$.role")).alias("roles"), F.array_distinct(every(F.col("items"), "$.type")).alias("types"),
+        F.array_distinct(every(images, "$.image.format")).alias("formats"), F.array(F.concat(F.lit(">"), prompt)).alias("prompts"),
+    )
+    lists = ", ".join(f"{c} array<string>" for c in SETS)
+    parts = saved(ready.mapInArrow(_partial(n), f"rows long, rejects long, {lists}, place string, line string"))
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
+    whole = parts.where("rows is not null").agg(F.sum("rows").alias("rows"), F.sum("rejects").alias("rejects"), *map(union, SETS))
+    whole = whole.withColumns({"prompts": F.transform("prompts", lambda p: F.substr(p, F.lit(2))), "has_image": F.array_contains("types", "image"), "has_video": F.array_contains("types", "video")})
+    return whole, parts.where("place is not null").select("place", "line").orderBy("place", "line").limit(n)
+
+
 def funnel(stages: list[tuple[str, DataFrame]], lag: bool = True) -> DataFrame:
     """(step, stage, rows, percent_of_previous) of stages in order."""
     out = None

@@ -505,7 +505,7 @@ SELECT step, stage, rows, round(100.0::DOUBLE * rows / lag(rows) OVER (ORDER BY
     "bucket_compare": "SELECT lang, count(*) AS pool, count(*) FILTER (n_chars > 3000) AS high FROM documents GROUP BY lang",
     "length_histogram": "WITH s AS (SELECT min(n_chars)::DOUBLE AS lo, max(n_chars)::DOUBLE AS hi FROM documents), b AS (SELECT least(floor((n_chars - lo) / ((hi - lo) / 30)), 29)::INT AS bin, lo, (hi - lo) / 30 AS w FROM documents, s) SELECT bin, round(lo + bin * w, 4) AS low, round(lo + (bin + 1) * w, 4) AS high, count(*) AS n FROM b GROUP BY bin, lo, w",
     "distance_histogram": f"WITH {QUOTA_SQL}, s AS (SELECT min(dist) AS lo, max(dist) AS hi FROM dist), b AS (SELECT least(floor((dist - lo) / ((hi - lo) / 50)), 49)::INT AS bin, (hi - lo) / 50 AS w, lo FROM dist, s) SELECT bin, count(*) AS n, round(count(*) / (sum(count(*)) OVER () * ((lo + (bin + 1) * w) - (lo + bin * w))), 4) AS density FROM b GROUP BY bin, w, lo",
-    "schema_profile": "SELECT array_to_string(list_sort(list(DISTINCT role)), ',') AS roles, 'text' AS types, 'text/plain' AS formats, '' AS prompts, false AS has_images FROM conversations WHERE role <> 'system'",
+    "schema_profile": "SELECT array_to_string(list_sort(list(DISTINCT role)), ',') AS roles, 'text' AS types, 'utf-8' AS formats, '' AS prompts, false AS has_images FROM conversations WHERE role <> 'system'",
     "sample_first_n": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100",
     "sample_hashed": "SELECT doc_id, lang FROM documents ORDER BY md5('42' || doc_id), doc_id LIMIT 100",
     "code_block_extract": f"WITH {FENCED_SQL} SELECT page_id, CASE WHEN page_id % 3 = 0 THEN trim(regexp_extract(text, '(?is)```svg\\s*\\n?(.*?)```', 1), chr(10) || ' ') END AS block FROM f",

@@ -141,6 +141,54 @@ def record_faults(spark, d):
     return docs(spark, d).where("text is not null").select("doc_id", convert.fault(data, prompts).alias("fault"))
 
 
+#: Leaves of a good record, in order, what is put in their place, and what is wrong then.
+WRONG = [
+    ('"meta_prompt":[""],', "", "meta_prompt is missing"), ('"data":[', '"dates":[', "data is missing"), ('"meta_prompt":[""]', '"meta_prompt":""', "meta_prompt is no list"),
+    ('"meta_prompt":[""]', '"meta_prompt":[0]', "meta_prompt is not known"), ('"data":[', '"data":[1,', "data is not two turns"), ('"role":"user"', '"role":7', "data[0].role is not user"),
+    ('"content":[{"type":"image"', '"content":5,"was":[{"type":"image"', "data[0].content is no list with items"), ('"type":"image"', '"type":false', "data[0]: item type is not known"),
+    ('"type":"relative_path"', '"type":null', "data[0]: image.type is not relative_path"), ('"format":"image/png"', '"format":["image/png"]', "data[0]: image.format is not known"),
+    ('"relative_path":"a.png"', '"relative_path":3', "data[0]: image.relative_path is no path"), ('"width":0', '"width":"0"', "data[0]: image.width is no integer"),
+    ('"height":0', '"height":0.5', "data[0]: image.height is no integer"), ('"type":"string"', '"type":1', "data[0]: text.type is not string"),
+    ('"format":"utf-8"', '"format":{}', "data[0]: text.format is not utf-8"), ('"string":"t"', '"string":12', "data[0]: text.string is no string"),
+    ('"role":"assistant"', '"role":["assistant"]', "data[1].role is not assistant"), ('"role":"assistant","content":[', '"role":"assistant","content":[],"was":[', "data[1].content is no list with items"),
+    ('"role":"assistant","content":[', '"role":"assistant","content":[{"type":"image"},', "data[1]: image where none may be"), ('"role":"assistant","content":[', '"role":"assistant","content":[7,', "data[1]: item type is not known"),
+    ("{", "[{", "record is no object"), ('{"meta_prompt":[""],', '{"meta_prompt":["",""],', None),
+]
+
+
+def typed_faults(spark, d):
+    """Records of all documents in which each leaf in turn has another type, and one in 23 is good."""
+    n = F.pmod("doc_id", F.lit(len(WRONG) + 1))
+    image, words = convert.image_item(F.lit("a.png")), convert.text_item(F.lit("t"))
+    data = F.array(convert.turn("user", F.array(image, words)), convert.turn("assistant", F.array(convert.text_item(F.col("text")))))
+    good = F.to_json(F.struct(F.array(F.lit("")).alias("meta_prompt"), data.alias("data")))
+    line, own = F.col("_good"), F.col("_good")
+    for k, (was, now, _) in enumerate(WRONG):
+        at = F.locate(was, own)
+        line = F.when(n == k, F.concat(F.substring(own, F.lit(1), at - 1), F.lit(now), F.substring(own, at + len(was), F.length(own)))).otherwise(line)
+    rows = docs(spark, d).select("doc_id", good.alias("_good")).select("doc_id", line.alias("_line")).select("doc_id", F.try_parse_json("_line").alias("v"))
+    return rows.select("doc_id", convert.typed_fault(F.col("v")).alias("fault"))
+
+
+def record_shape(spark, d):
+    rows = docs(spark, d).select(F.to_json(F.struct("doc_id", F.when(F.col("doc_id") % 3 == 0, F.struct(F.col("lang").alias("a"))).alias("b"))).alias("line"))
+    return convert.shapes(rows.withColumn("line", F.when(F.col("line").contains("17"), "{").otherwise(F.col("line"))), "line")
+
+
+def viewer_scan(spark, d):
+    """Chat records of all documents as JSON lines, some cut short, scanned once: counts, values and the ids of a sample."""
+    n, path = F.col("doc_id"), folder(spark, "chats")
+    image = convert.image_item(F.when(n % 2 == 0, "a.png").otherwise("a.jpg"))
+    content = F.when(n % 4 == 0, F.array(image, convert.text_item(F.col("text")))).otherwise(F.array(convert.text_item(F.col("text"))))
+    data = F.array(convert.turn("user", content), F.struct(F.when(n % 5 == 0, "tool").otherwise("assistant").alias("role"), F.array(convert.text_item(F.col("lang"))).alias("content")))
+    prompts = F.when(n % 3 == 0, F.array(F.lit(""), F.lit(""))).otherwise(F.array(F.lit("")))
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), prompts.alias("meta_prompt"), data.alias("data")))
+    docs(spark, d).select(F.when(n % 50 == CUT, '{"id": ').when(n % 50 == BLANK, " ").otherwise(line).alias("value")).write.text(path)
+    whole, picked = report.viewed(spark.read.text(path), 25)
+    ids = picked.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: F.get_json_object(x["line"], "$.id")), ",").alias("sample"))  # 25 rows
+    return whole.select("rows", "rejects", *(F.array_join(c, ",").alias(c) for c in report.SETS), "has_image", "has_video").crossJoin(F.broadcast(ids))  # one row each
+
+
 def prompt_contents(spark, d):
     uri, n = F.lit("data:image/png;base64,AA=="), F.col("doc_id")
     content = F.when(n % 3 == 0, enrich.prompt_content(F.col("text"))).when(n % 3 == 1, enrich.prompt_content(F.col("text"), uri)).otherwise(enrich.prompt_content(F.col("text"), uri, False))
@@ -196,7 +244,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_lenient, scan_strict, scan_missing, scan_field, line_count, line_numbers, scan_first_rows, sink_count, ordered_union, image_uris, call_log_sink, resume_limited, meta_upsert,
-        record_keys, image_position, record_faults, prompt_contents, reply_blocks, dedup_rates, cluster_size_histogram, kmeans_fixed_point, projection, projection_sample,
+        record_keys, image_position, record_faults, typed_faults, record_shape, viewer_scan, prompt_contents, reply_blocks, dedup_rates, cluster_size_histogram, kmeans_fixed_point, projection, projection_sample,
     )
 }
 
@@ -224,6 +272,13 @@ ORACLE_SQL = {
     "dedup_rates": "WITH n AS (SELECT count(*)::DOUBLE AS a, count(*) FILTER (doc_id % 2 = 0) AS b, count(*) FILTER (doc_id % 6 = 0) AS c FROM documents) SELECT round(1 - b / a, 6) AS exact_rate, round(1 - c / b::DOUBLE, 6) AS near_rate, true AS pool_ok FROM n",
     "cluster_size_histogram": "WITH z AS (SELECT label, count(*) AS size FROM embeddings GROUP BY label), s AS (SELECT min(size)::DOUBLE AS lo, max(size)::DOUBLE AS hi FROM z), b AS (SELECT CASE WHEN hi > lo THEN least(floor((size - lo) / ((hi - lo) / 10)), 9) ELSE 0 END::INT AS bin, lo, (hi - lo) / 10 AS w FROM z, s) SELECT bin, round(lo + bin * w, 4) AS low, round(lo + (bin + 1) * w, 4) AS high, count(*) AS n FROM b GROUP BY bin, lo, w",
     "kmeans_fixed_point": "SELECT 'b' || (vec_id % 2) AS bucket, count(*) AS n, CASE vec_id % 2 WHEN 0 THEN 4 ELSE 6 END::BIGINT AS clusters, 0::BIGINT AS nearer_to_another FROM embeddings GROUP BY ALL",
+    "typed_faults": "SELECT doc_id, CASE doc_id % " + str(len(WRONG) + 1) + " " + " ".join(f"WHEN {k} THEN '{w}'" for k, (_, _, w) in enumerate(WRONG) if w) + " END AS fault FROM documents",
+    "record_shape": "SELECT count(*) AS rows, count(*) FILTER (contains(doc_id::VARCHAR, '17') OR (doc_id % 3 = 0 AND contains(lang, '17'))) AS rejects, 'OBJECT<b: OBJECT<a: STRING>, doc_id: BIGINT>' AS shape FROM documents",
+    "viewer_scan": f"""
+WITH g AS (SELECT * FROM documents WHERE doc_id % 50 <> {BLANK}), k AS (SELECT * FROM g WHERE doc_id % 50 <> {CUT})
+SELECT (SELECT count(*) FROM g) AS rows, (SELECT count(*) FROM g WHERE doc_id % 50 = {CUT}) AS rejects, 'assistant,tool,user' AS roles, 'image,text' AS types, 'image/png' AS formats,
+       ',|' AS prompts, true AS has_image, false AS has_video,
+       (SELECT string_agg(doc_id::VARCHAR, ',' ORDER BY md5('42' || doc_id)) FROM (SELECT * FROM k ORDER BY md5('42' || doc_id) LIMIT 25)) AS sample""",
     "projection_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5('42' || vec_id), vec_id LIMIT 50000",
     "projection": "SELECT vec_id FROM embeddings ORDER BY md5('42' || vec_id), vec_id LIMIT 300",
 }
