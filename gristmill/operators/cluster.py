@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,14 +22,29 @@ from gristmill.sources.stores import saved
 BROADCAST = 32 << 20
 
 
-def embedded(df: DataFrame, key: str, text: str, model: Callable[[], Callable[[list[str]], np.ndarray]] | None, dim: int, batch: int = 64) -> DataFrame:
-    """(key, embedding) of unit length. ``model`` makes an encoder once per task; None gives zero vectors."""
-    own = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+def device() -> str | None:
+    """The accelerator that this task was given by its resource profile, else null."""
+    task = TaskContext.get()
+    for found in (task.resources() if task else {}).values():
+        return found.addresses[0]
+    return None
+
+
+def embedded(
+    df: DataFrame, key: str, text: str, model: Callable[..., Callable[[list[str]], np.ndarray]] | None, dim: int, batch: int = 64, keep: list[str] | None = None, barrier: bool = False, profile: ResourceProfile | None = None
+) -> DataFrame:
+    """(id, embedding) of unit length, with the columns ``keep``. ``model`` makes an encoder once per task; None gives zero vectors.
+
+    A stage-level ``profile`` gives each task its own accelerator, whose address ``model`` then gets as an argument; with
+    ``barrier`` all tasks of the stage start together, for models that span tasks.
+    """
+    own = df.select(F.col(key).alias("id"), F.col(text).alias("text"), *(keep or []))
+    names, devices = keep or [], profile is not None
     if model is None:
-        return own.select("id", F.array_repeat(F.lit(0.0).cast("float"), dim).alias("embedding"))
+        return own.select("id", F.array_repeat(F.lit(0.0).cast("float"), dim).alias("embedding"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = model()
+        encode = model(device()) if devices else model()
         for b in batches:
             texts, parts = [t or "" for t in b["text"].to_pylist()], []
             for lo in range(0, len(texts), batch):
@@ -35,9 +52,10 @@ def embedded(df: DataFrame, key: str, text: str, model: Callable[[], Callable[[l
                 parts.append(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8))
             x = np.concatenate(parts) if parts else np.zeros((0, dim), np.float32)
             flat = pa.array(x.ravel(), pa.float32())
-            yield pa.RecordBatch.from_arrays([b["id"], pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), flat)], ["id", "embedding"])
+            yield pa.RecordBatch.from_arrays([b["id"], pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), flat), *(b[n] for n in names)], ["id", "embedding", *names])
 
-    return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, embedding array<float>")
+    kinds = "".join(f", {n} {own.schema[n].dataType.simpleString()}" for n in names)
+    return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, embedding array<float>{kinds}", barrier=barrier, profile=profile)
 
 
 def embed_pending(df: DataFrame, done: DataFrame, key: str, text: str, model: Callable | None, dim: int) -> DataFrame:

@@ -50,8 +50,9 @@ class Config:
 
 
 class Run:
-    def __init__(self, spark: SparkSession, config: Config, model=None):
-        self.spark, self.config, self.model = spark, config, model
+    def __init__(self, spark: SparkSession, config: Config, model=None, profile=None):
+        """``model`` makes encoders (see ``cluster.embedded``); ``profile`` gives its tasks their accelerators."""
+        self.spark, self.config, self.model, self.profile = spark, config, model, profile
 
     def path(self, stage: str) -> str:
         return f"{self.config.out}/{stage}"
@@ -87,22 +88,29 @@ class Run:
     def svg_filter(self) -> DataFrame:
         return curate.complexity_filter(self.read("dedup_near"), "domain", "svg_len", self.config.bottom, self.config.filtered)
 
-    def embed(self, shard: int = 0, shards: int = 1) -> DataFrame:
-        own = self.read("svg_filter").where(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard)
-        return cluster.embedded(own, "id", "instruction", self.model, self.config.dim)
+    def embed(self, shards: list[int]) -> DataFrame:
+        """(id, embedding, shard) of the rows of some shards, a task or more for each."""
+        n = self.config.embed_shards
+        rows = self.read("svg_filter").withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).where(F.col("shard").isin(shards))
+        return cluster.embedded(rows.repartition(len(shards), "shard"), "id", "instruction", self.model, self.config.dim, keep=["shard"], profile=self.profile)
 
     def write_embeddings(self, resume: bool) -> None:
-        """Shards by a hash of the id, a folder each; on resume those that are there stay."""
-        n = self.config.embed_shards
-        for i in range(n):
-            path = f"{self.path('embed')}/shard={i}"
-            if not (resume and jsonl.exists(self.spark, path + "/_SUCCESS")):
-                self.embed(i, n).write.mode("overwrite").parquet(path)
-        jsonl.write_text(self.spark, self.path("embed") + "/_SUCCESS", "")
+        """Shards by a hash of the id, a folder each, all that are pending in one scan and one job.
+
+        On resume those whose folder is marked as done stay, and only the others are made.
+        """
+        folder = self.path("embed")
+        mark = lambda i: f"{folder}/shard={i}/_SUCCESS"
+        pending = [i for i in range(self.config.embed_shards) if not (resume and jsonl.exists(self.spark, mark(i)))]
+        if pending:
+            self.embed(pending).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("shard").parquet(folder)
+            for i in pending:
+                jsonl.write_text(self.spark, mark(i), "")
+        jsonl.write_text(self.spark, f"{folder}/_SUCCESS", "")
 
     def cluster(self) -> DataFrame:
         rows, _ = cluster.with_vectors(self.read("svg_filter").drop("gt_svg"), self.read("embed").drop("shard"), "id")
-        return cluster.clustered(rows, "domain", self.config.clusters, self.config.default_clusters).drop("embedding")
+        return cluster.clustered(rows, "domain", self.config.clusters, self.config.default_clusters, key="id").drop("embedding")
 
     def sample(self) -> DataFrame:
         c = self.config

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gristmill.functions import tables
 from gristmill.functions import text as T
 from gristmill.functions import vectors as V
 from gristmill.operators import cluster, convert, curate, enrich, lsh, report, sample
@@ -370,6 +371,17 @@ def text_segments(spark, d):
     return s.select("page_id", "place", "s.kind", "s.language", T.strip(F.col("s.body")).alias("body"))
 
 
+def segments_by_sql(spark, d):
+    """As text_segments, by a table function in SQL text."""
+    tables.register(spark)
+    return spark.sql("SELECT page_id, s.place, s.kind, s.language, trim(BOTH '\\n ' FROM s.body) AS body FROM {pages}, LATERAL text_segments(text) s", pages=fenced(spark, d))
+
+
+def shingles_by_sql(spark, d):
+    tables.register(spark)
+    return spark.sql("SELECT doc_id, count(*) AS n_shingles, sum(s.n) AS n_places FROM {docs}, LATERAL text_shingles(text, 5) s GROUP BY doc_id", docs=docs(spark, d))
+
+
 def html_escape(spark, d):
     return table(spark, d, "pages").select("page_id", F.md5(T.escape_html(F.col("html"))).alias("escaped_md5"))
 
@@ -459,7 +471,7 @@ QUERIES = {
         curate_flagship, clean_documents, clean_stats, exact_dedup, exact_dedup_stats, complexity_cutoffs, complexity_filter, extract_turns, convert_rows, convert_skip_reasons,
         byte_shingles, minhash_signatures, band_keys, near_dedup_survivors, vector_normalise, vector_truncate, embed_stub, records_with_vectors, cluster_centroids, centroid_distance,
         cluster_sizes, inertia, nearest_centroid, kmeans_assign, bucket_quota, pool, high_priority, anneal, funnel, pool_metrics, source_mix, cluster_coverage, bucket_compare,
-        length_histogram, distance_histogram, schema_profile, sample_first_n, sample_hashed, code_block_extract, raw_svg_extract, text_segments, html_escape, page_titles, image_types,
+        length_histogram, distance_histogram, schema_profile, sample_first_n, sample_hashed, code_block_extract, raw_svg_extract, text_segments, segments_by_sql, shingles_by_sql, html_escape, page_titles, image_types,
         record_search, ids_from_paths, jsonl_round_trip, resume_pending, enrich_stub, retry_classes, call_usage, embedding_buckets, event_windows, events_first_seen,
     )
 } | {"cluster_budget": budgets}
@@ -511,6 +523,8 @@ SELECT step, stage, rows, round(100.0::DOUBLE * rows / lag(rows) OVER (ORDER BY
     "code_block_extract": f"WITH {FENCED_SQL} SELECT page_id, CASE WHEN page_id % 3 = 0 THEN trim(regexp_extract(text, '(?is)```svg\\s*\\n?(.*?)```', 1), chr(10) || ' ') END AS block FROM f",
     "raw_svg_extract": f"WITH {FENCED_SQL} SELECT page_id, nullif(regexp_extract(text, '(?is)<svg.*?</svg>'), '') AS raw, nullif(regexp_extract(text, '(?is)<svg.*?</svg>'), '') AS best FROM f",
     "text_segments": f"WITH {FENCED_SQL}, p AS (SELECT page_id, string_split(text, '```') AS ps FROM f), u AS (SELECT page_id, unnest(range(0, len(ps)))::INT AS place, unnest(ps) AS part FROM p) SELECT page_id, place, CASE WHEN place % 2 = 1 THEN 'code' ELSE 'text' END AS kind, CASE WHEN place % 2 = 1 THEN regexp_extract(part, '^(\\w*)', 1) ELSE '' END AS language, trim(CASE WHEN place % 2 = 1 THEN regexp_replace(part, '^\\w*', '') ELSE part END, chr(10) || ' ') AS body FROM u",
+    "segments_by_sql": f"WITH {FENCED_SQL}, p AS (SELECT page_id, string_split(text, '```') AS ps FROM f), u AS (SELECT page_id, unnest(range(0, len(ps)))::INT AS place, unnest(ps) AS part FROM p) SELECT page_id, place, CASE WHEN place % 2 = 1 THEN 'code' ELSE 'text' END AS kind, CASE WHEN place % 2 = 1 THEN regexp_extract(part, '^(\\w*)', 1) ELSE '' END AS language, trim(CASE WHEN place % 2 = 1 THEN regexp_replace(part, '^\\w*', '') ELSE part END, chr(10) || ' ') AS body FROM u",
+    "shingles_by_sql": "SELECT doc_id, count(DISTINCT g) AS n_shingles, count(*) AS n_places FROM (SELECT doc_id, substr(h, (2 * i + 1)::BIGINT, 10) AS g FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - 4, 1))) AS i FROM (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents))) GROUP BY doc_id",
     "html_escape": "SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) AS escaped_md5 FROM pages",
     "page_titles": "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages",
     "image_types": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' END AS type FROM documents",
