@@ -1,8 +1,9 @@
 """Main text of web pages by the maximum-scoring contiguous run of words and tags.
 
 A page is read as a sequence of tags and runs of words. Words score above zero (less in links and
-in elements that are named as advertising, menus or the like) and tags below; one linear scan finds
-the run with the largest sum, and its words are the text. Elements of the kinds that never belong to
+in elements that are named as advertising, menus or the like), tags below, and what is left out nothing; one linear scan finds
+the run with the largest sum, and its words are the text, with those of the blocks in which it begins and ends. Tags within
+a line are free, and lists, tables and headings are no dearer than paragraphs where their words aren't linked. Elements of the kinds that never belong to
 an article are left out of the run as well, unless they hold the article.
 
 Weights come from pages that label themselves: exactly one ``article`` (else ``main``) element
@@ -29,12 +30,16 @@ from gristmill.sources.stores import saved
 
 TRAIN_PAGES, EPOCHS = 300, 10
 UNSEEN = "unseen"
+#: Kinds of tags whose weights aren't learned.
+FREE = ("inline", "flow", "/flow", "out", "word out")
 #: Weights where no page of the corpus labels itself.
-PLAIN = {"word": 1.0, "word a": -0.5, "word out": -1.0, "word named": -0.5, "p": -0.01, "/p": -0.01, UNSEEN: -3.0}
+PLAIN = {"word": 1.0, "word a": -0.5, "word out": 0.0, "out": 0.0, "word named": -0.5, "p": -0.01, "/p": -0.01, "flow": -0.01, "/flow": -0.01, "inline": 0.0, UNSEEN: -3.0}
 #: Elements without page text, elements around an article, inline elements.
 HIDDEN = "script style noscript template title textarea iframe svg object canvas"
 OUTSIDE = set("nav aside form footer menu dialog button select".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements that divide text inside an article: where the words next to them aren't linked they are no dearer than a paragraph.
+FLOW = set("li dt dd dl ul ol td th tr table thead tbody tfoot caption pre blockquote h2 h3 h4 h5 h6 figcaption figure section br hr".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 NAMED = re.compile(
     r"(?i)(?:class|id|role)\s*=\s*[\"']?[^\"'>]*(?<![a-z])(?:ads?|adverts?|advertisement|adbox|banner|breadcrumbs?|comments?|comment-list|cookies?|consent|disqus|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|paywall|popup|promo|promoted|related|respond|search|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?![a-z])"
@@ -120,7 +125,7 @@ def tokens(page: str) -> list[tuple[str, int, str, bool]]:
     total = before[-1] + counts[-1]
     before.append(total)
     made: list[tuple[str, int, str, bool]] = []
-    out, named, links, article = -1, -1, 0, 0  # the tags that end what is left out or named
+    out, named, links, article, last = -1, -1, 0, 0, -1  # the tags that end what is left out or named
 
     for i, (m, name, close) in enumerate(found):
         if pieces[i]:
@@ -136,16 +141,43 @@ def tokens(page: str) -> list[tuple[str, int, str, bool]]:
             holds = articles[min(end, len(found))] > articles[i]
             if not holds and ((kind and not (name == "form" and most)) or (whole and not most)):
                 out = end
+                if end < len(found) and found[end][1:] == (name, True):
+                    last = end
             elif hit and not holds and not most:
                 named = max(named, end)
         if name == "a":
             links = 0 if close else 1
-        # an implied end leaves out the tag before, not the one that ends it
-        made.append((("/" if close else "") + name, 0, "", out > i))
+        # an implied end leaves out the tag before, not the one that ends it; an end tag of its own goes too
+        made.append((("/" if close else "") + name, 0, "", out > i or last == i))
     if pieces[-1]:
         i = len(found)
         made.append(("word out" if out >= i else "word a" if links else "word named" if named >= i and article <= 0 else "word", counts[-1], pieces[-1], out >= i))
-    return made
+    return _classed(made)
+
+
+def _classed(made: list[tuple[str, int, str, bool]]) -> list[tuple[str, int, str, bool]]:
+    """What is left out weighs nothing; inline tags but links are one kind, and so are tags of FLOW where the words they hold are an article's own.
+
+    For a start tag these are the next words, for an end tag those before it.
+    """
+    follow, near = [""] * len(made), ""
+    for i in range(len(made) - 1, -1, -1):
+        follow[i] = near
+        if made[i][1] and not made[i][3]:
+            near = made[i][0]
+    out, before = [], ""
+    for (key, n, text, gone), after in zip(made, follow, strict=True):
+        name = key.lstrip("/")
+        if gone:
+            key = "word out" if key[:4] == "word" else "out"
+        elif n:
+            before = key
+        elif name in INLINE and name != "a":
+            key = "inline"
+        elif name in FLOW and (before if key[0] == "/" else after) == "word":
+            key = "/flow" if key[0] == "/" else "flow"
+        out.append((key, n, text, gone))
+    return out
 
 
 def best(items: list[tuple[str, int]], weights: dict[str, float]) -> tuple[int, int]:
@@ -161,6 +193,18 @@ def best(items: list[tuple[str, int]], weights: dict[str, float]) -> tuple[int,
     return lo, hi
 
 
+def extended(items: list[tuple[str, int]], lo: int, hi: int) -> tuple[int, int]:
+    """The run with the whole blocks in which it begins and ends: words and inline tags up to the next other tag."""
+    if lo == hi:
+        return lo, hi
+    within = lambda key: key[:4] == "word" or key in ("inline", "a", "/a")
+    while lo and within(items[lo][0]) and within(items[lo - 1][0]):
+        lo -= 1
+    while hi < len(items) and within(items[hi - 1][0]) and within(items[hi][0]):
+        hi += 1
+    return lo, hi
+
+
 def label(items: list[tuple[str, int]]) -> tuple[int, int] | None:
     """What the page's one article (or main) element holds; None if it hasn't just one."""
     for name in ("article", "main"):
@@ -184,6 +228,7 @@ def learn(pages: list[list[tuple[str, int]]]) -> dict[str, float]:
     for key in inside.keys() | outside.keys():
         odds = (inside[key] + 0.5) / (outside[key] + 0.5)
         weights[key] = min(max(odds - 1, -1.0), 1.0) if key[:4] == "word" else min(-0.01, 10.0 * (min(odds, 1.0) - 1))
+    weights |= {k: PLAIN[k] for k in FREE}
     weights.setdefault("word", 1.0)
     weights.setdefault("word named", PLAIN["word named"])
     weights["word"] = max(weights["word"], 0.1)
@@ -210,6 +255,8 @@ def learn(pages: list[list[tuple[str, int]]]) -> dict[str, float]:
                     step[key] += sign * (n if key[:4] == "word" else 1)
             scale = 1.0 / (1 + max(map(abs, step.values()), default=1))
             for key, n in step.items():
+                if key in FREE:
+                    continue
                 weights[key] += scale * n
                 if key == "word":
                     weights[key] = max(weights[key], 0.1)
@@ -222,12 +269,13 @@ def learn(pages: list[list[tuple[str, int]]]) -> dict[str, float]:
 
 def extract(page: str, weights: dict[str, float]) -> str:
     found = tokens(page)
-    lo, hi = best([(k, n) for k, n, _, _ in found], weights)
+    items = [(k, n) for k, n, _, _ in found]
+    lo, hi = extended(items, *best(items, weights))
     parts = []
     for key, _, text, out in found[lo:hi]:
         if key[:4] == "word":
             parts.append(" " if out else html.unescape(text))
-        elif key.lstrip("/") not in INLINE:
+        elif key not in ("inline", "a", "/a"):
             parts.append(" ")
     return " ".join("".join(parts).split())
 
