@@ -678,20 +678,32 @@ def _joint(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return comp
 
 
-def _candidates(row: np.ndarray, number: np.ndarray, far: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows, the larger first, that have a number in common and one of which is far; at most some millions at once."""
+def _candidates(row: np.ndarray, number: np.ndarray, far: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows, the larger first, that have a number in common and one of which is far; at most some millions at once.
+
+    Cuts are made by what a group has itself, so its pairs come in the same steps whatever groups it lies with.
+    """
     order = np.argsort(number, kind="stable")
     row, number = row[order], number[order]
     first, end = np.searchsorted(number, number), np.searchsorted(number, number, "right")
     pick = np.flatnonzero(far[row] & (end - first > 1))
-    upto = np.concatenate(([0], np.cumsum((end - first)[pick])))
+    pick = pick[np.argsort(group[row[pick]], kind="stable")]
+    if not len(pick):
+        return
+    size, of = (end - first)[pick], group[row[pick]]
+    upto = np.cumsum(size) - size
+    step = (upto - upto[np.searchsorted(of, of)]) >> 21
+    # runs of one group's step; several groups' last steps may go together
+    starts = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (step[1:] != step[:-1]))))
     k = 0
-    while k < len(pick):
-        until = max(k + 1, int(np.searchsorted(upto, upto[k] + (1 << 21), "right")) - 1)
-        own = pick[k:until]
-        n = (end - first)[own]
+    while k < len(starts):
+        until = k + 1
+        while until < len(starts) and of[starts[until]] != of[starts[until - 1]] and upto[starts[until]] - upto[starts[k]] < 1 << 21:
+            until += 1
+        part = slice(starts[k], starts[until] if until < len(starts) else len(pick))
+        own, n = pick[part], size[part]
         a = np.repeat(row[own], n)
-        b = row[np.repeat(first[own] - (upto[k:until] - upto[k]), n) + np.arange(upto[until] - upto[k])]
+        b = row[np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         yield np.maximum(a, b), np.minimum(a, b)
         k = until
 
@@ -750,7 +762,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ok = np.cumsum(covered, 1)[a, at] == 0
             ok[now] = False
             a, at, b = a[ok], at[ok], b[ok]
-        for a, b in _candidates(row, number, far):
+        for a, b in _candidates(row, number, far, group):
             ok = (comp[a] != comp[b]) & (block[a] != block[b])
             codes = np.unique((a[ok] << 32) | b[ok])
             a, b, most = codes >> 32, codes & 0xFFFFFFFF, 1
@@ -844,9 +856,9 @@ def _others(texts: DataFrame, met: DataFrame, good: DataFrame) -> DataFrame:
     cells = within.select(*cell).join(far.withColumn("far", F.lit(True)), cell, "left").select(*cell, F.coalesce("far", F.lit(False)).alias("far"))
 
     def ask(rows: DataFrame, *more: str) -> DataFrame:
-        return texts.join(rows.groupBy("doc").agg(F.collect_list(F.struct("key", "place", "far", *more)).alias("cells")), "doc")
+        return texts.join(rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("key", "place", "far", *more))).alias("cells")), "doc")
 
-    runs = good.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi", "head", "head_lo")).alias("runs"))
+    runs = good.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "head", "head_lo"))).alias("runs"))
     asked = ask(cells.union(first.withColumn("far", F.lit(False)))).join(runs, "doc", "left").select("doc", "text", "cells", "runs")
     known = saved(asked.mapInArrow(tidy(_contexts), "key long, doc long, place int, far boolean, whole long, lo long, hi long, sides array<long>, up long, at long"))
     made = known.groupBy("key", "whole").agg(F.min(F.struct("doc", "place", "sides")).alias("x"), F.max("far").alias("far"), F.min("far").alias("all"), F.min(F.when(F.col("up").isNotNull(), F.struct("up", "at"))).alias("u"))
@@ -899,7 +911,7 @@ def _dealt(items: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     totals = saved(totals.select("key", "part", zero.alias("of"), *(F.lit(0).cast(k).alias(c) for c, k in kinds.items()), "items", F.lit(False).alias("own")))
 
     def sharing(rows: DataFrame, equal: bool) -> DataFrame:
-        rows = rows.select("key", "part", "of", *kinds, "items", F.lit(True).alias("own")).union(totals).repartition("key", "part").sortWithinPartitions("key", "part", "own")
+        rows = rows.select("key", "part", "of", *kinds, "items", F.lit(True).alias("own")).union(totals).repartition("key", "part").sortWithinPartitions("key", "part", "own", "cell")
         entries = rows.mapInArrow(tidy(_entries(equal)), "key long, bucket int, entries binary")
         return saved(entries.repartition("key", "bucket").sortWithinPartitions("key", "bucket").mapInArrow(tidy(_sharing(equal)), "cell long, head long, label long, head_label long").distinct())
 
