@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from gristmill import schema
 from gristmill.operators import cluster, convert, enrich, report, sample
+from gristmill.plans import queries
 from gristmill.sources import jsonl
 from gristmill.sources.stores import saved, shared_folder, table
 
@@ -138,7 +139,7 @@ def record_faults(spark, d):
     user, reply = convert.turn("user", item), convert.turn("assistant", F.array(convert.text_item(convert.fenced(F.col("text")))))
     data = F.when(n % 10 == 6, F.array(user)).when(n % 10 == 7, F.array(reply, user)).otherwise(F.array(user, reply))
     prompts = F.when(n % 10 == 8, F.array(F.lit("p"))).otherwise(F.array(F.lit("")))
-    return docs(spark, d).where("text is not null").select("doc_id", convert.fault(data, prompts).alias("fault"))
+    return docs(spark, d).select("doc_id", convert.fault(data, prompts).alias("fault"))
 
 
 #: Leaves of a good record, in order, what is put in their place, and what is wrong then.
@@ -192,7 +193,7 @@ def viewer_scan(spark, d):
 def prompt_contents(spark, d):
     uri, n = F.lit("data:image/png;base64,AA=="), F.col("doc_id")
     content = F.when(n % 3 == 0, enrich.prompt_content(F.col("text"))).when(n % 3 == 1, enrich.prompt_content(F.col("text"), uri)).otherwise(enrich.prompt_content(F.col("text"), uri, False))
-    out = docs(spark, d).where("text is not null").select("doc_id", content.alias("c"))
+    out = docs(spark, d).select("doc_id", content.alias("c"))
     return out.select("doc_id", F.array_join(F.transform("c", lambda x: x["type"]), ",").alias("types"), F.length(F.array_join(F.transform("c", lambda x: F.coalesce(x["text"], F.lit(""))), "")).alias("chars"))
 
 
@@ -204,8 +205,12 @@ def reply_blocks(spark, d):
 
 
 def dedup_rates(spark, d):
-    n = docs(spark, d).agg(F.count("*"), F.count_if(F.col("doc_id") % 2 == 0), F.count_if(F.col("doc_id") % 6 == 0)).first()
-    r = report.rates(n[0], n[1], n[2], n[1], n[2], n[1] - n[2])
+    """Rates of the run's own stages: all rows, those left by exact and by near dedup, and the pool with its parts.
+
+    Near-dedup drops the copies of a text within its domain as well, so it leaves the same rows of a domain with or without the stage before.
+    """
+    count = lambda f: f(spark, d).count()
+    r = report.rates(docs(spark, d).count(), count(queries.deduped), count(queries.near_dedup_survivors), count(queries.pool), count(queries.high_priority), count(queries.anneal))
     return spark.range(1).select(F.round(F.lit(r["exact_rate"]), 6).alias("exact_rate"), F.round(F.lit(r["near_rate"]), 6).alias("near_rate"), F.lit(r["pool_ok"]).alias("pool_ok"))
 
 
@@ -228,9 +233,9 @@ def kmeans_fixed_point(spark, d):
 
 
 def projection(spark, d):
-    """The rows that a projection shows; its axes are tested on made points."""
-    p = cluster.projected(table(spark, d, "embeddings"), "vec_id", rows=300)
-    return p.select("vec_id")
+    """The two main axes of all rows; an axis has no sign of its own."""
+    p = cluster.projected(table(spark, d, "embeddings"), "vec_id")
+    return p.select("vec_id", F.round(F.abs("x"), 4).alias("x"), F.round(F.abs("y"), 4).alias("y"))
 
 
 def projection_sample(spark, d):
@@ -266,10 +271,12 @@ ORACLE_SQL = {
     "record_keys": "SELECT doc_id, CASE WHEN doc_id % 4 > 1 THEN 'm' || doc_id WHEN doc_id % 8 <> 0 THEN 'r' || doc_id ELSE '' END AS key FROM documents",
     "image_position": "WITH r AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '<image> ' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'Instruction: ' END || coalesce(text, '') || CASE WHEN doc_id % 4 = 1 THEN ' <image>' ELSE '' END AS p FROM documents) SELECT doc_id, strpos(p, '<image>') > 0 AND strpos(p, 'Instruction:') > strpos(p, '<image>') AS first FROM r",
     "record_faults": """SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'text item without a string' WHEN 1 THEN 'image format not known' WHEN 2 THEN 'image item without a path' WHEN 3 THEN 'image size missing' WHEN 4 THEN 'item type not known'
-  WHEN 5 THEN 'empty content' WHEN 6 THEN 'fewer than two turns' WHEN 7 THEN 'roles out of order' WHEN 8 THEN 'meta_prompt not known' END AS fault FROM documents WHERE text IS NOT NULL""",
-    "prompt_contents": f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'text' WHEN 1 THEN 'image_url,text' ELSE 'text,image_url' END AS types, ({len(PROMPT)} + length(text))::INT AS chars FROM documents WHERE text IS NOT NULL",
+  WHEN 5 THEN 'empty content' WHEN 6 THEN 'fewer than two turns' WHEN 7 THEN 'roles out of order' WHEN 8 THEN 'meta_prompt not known' ELSE CASE WHEN text IS NULL THEN 'text item without a string' END END AS fault FROM documents""",
+    "prompt_contents": f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'text' WHEN 1 THEN 'image_url,text' ELSE 'text,image_url' END AS types, coalesce({len(PROMPT)} + length(text), 0)::INT AS chars FROM documents",
     "reply_blocks": "SELECT doc_id, md5(text) AS user_md5, '```txt' || chr(10) || lang || chr(10) || '```' AS reply, 'image/jpeg' AS format FROM documents",
-    "dedup_rates": "WITH n AS (SELECT count(*)::DOUBLE AS a, count(*) FILTER (doc_id % 2 = 0) AS b, count(*) FILTER (doc_id % 6 = 0) AS c FROM documents) SELECT round(1 - b / a, 6) AS exact_rate, round(1 - c / b::DOUBLE, 6) AS near_rate, true AS pool_ok FROM n",
+    "dedup_rates": f"""
+WITH s AS (SELECT count(*)::DOUBLE AS c FROM ({queries.ORACLE_SQL["near_dedup_survivors"]})), e AS (SELECT count(*)::DOUBLE AS b FROM ({queries.ORACLE_SQL["exact_dedup"]}))
+SELECT round(1 - b / (SELECT count(*) FROM documents), 6) AS exact_rate, round(1 - c / b, 6) AS near_rate, true AS pool_ok FROM s, e""",
     "cluster_size_histogram": "WITH z AS (SELECT label, count(*) AS size FROM embeddings GROUP BY label), s AS (SELECT min(size)::DOUBLE AS lo, max(size)::DOUBLE AS hi FROM z), b AS (SELECT CASE WHEN hi > lo THEN least(floor((size - lo) / ((hi - lo) / 10)), 9) ELSE 0 END::INT AS bin, lo, (hi - lo) / 10 AS w FROM z, s) SELECT bin, round(lo + bin * w, 4) AS low, round(lo + (bin + 1) * w, 4) AS high, count(*) AS n FROM b GROUP BY bin, lo, w",
     "kmeans_fixed_point": "SELECT 'b' || (vec_id % 2) AS bucket, count(*) AS n, CASE vec_id % 2 WHEN 0 THEN 4 ELSE 6 END::BIGINT AS clusters, 0::BIGINT AS nearer_to_another FROM embeddings GROUP BY ALL",
     "typed_faults": "SELECT doc_id, CASE doc_id % " + str(len(WRONG) + 1) + " " + " ".join(f"WHEN {k} THEN '{w}'" for k, (_, _, w) in enumerate(WRONG) if w) + " END AS fault FROM documents",
@@ -280,5 +287,16 @@ SELECT (SELECT count(*) FROM g) AS rows, (SELECT count(*) FROM g WHERE doc_id %
        ',|' AS prompts, true AS has_image, false AS has_video,
        (SELECT string_agg(doc_id::VARCHAR, ',' ORDER BY md5('42' || doc_id)) FROM (SELECT * FROM k ORDER BY md5('42' || doc_id) LIMIT 25)) AS sample""",
     "projection_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5('42' || vec_id), vec_id LIMIT 50000",
-    "projection": "SELECT vec_id FROM embeddings ORDER BY md5('42' || vec_id), vec_id LIMIT 300",
+    "projection": """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+u AS (SELECT vec_id, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e),
+z AS MATERIALIZED (SELECT vec_id, i, v - avg(v) OVER (PARTITION BY i) AS v FROM u),
+m AS MATERIALIZED (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(s ORDER BY j) AS r FROM (SELECT a.i, b.i AS j, sum(a.v * b.v) AS s FROM z a JOIN z b USING (vec_id) GROUP BY ALL) GROUP BY i)),
+p AS (SELECT 0 AS it, list_transform(c[1], lambda x: 1.0::DOUBLE) AS v FROM m
+      UNION ALL SELECT it + 1, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w))) FROM (SELECT it, list_transform(c, lambda r: list_inner_product(r, v)) AS w FROM p, m WHERE it < 3000)),
+a AS MATERIALIZED (SELECT v, list_inner_product(v, list_transform(c, lambda r: list_inner_product(r, v))) AS l FROM p, m WHERE it = 3000),
+n AS MATERIALIZED (SELECT list_transform(range(1, len(v) + 1), lambda i: list_transform(range(1, len(v) + 1), lambda j: c[i][j] - l * v[i] * v[j])) AS c FROM m, a),
+q AS (SELECT 0 AS it, list_transform(c[1], lambda x: 1.0::DOUBLE) AS v FROM n
+      UNION ALL SELECT it + 1, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w))) FROM (SELECT it, list_transform(c, lambda r: list_inner_product(r, v)) AS w FROM q, n WHERE it < 3000))
+SELECT vec_id, round(abs(list_inner_product(x, a.v)), 4) AS x, round(abs(list_inner_product(x, q.v)), 4) AS y FROM e, a, q WHERE q.it = 3000""",
 }
