@@ -4,7 +4,8 @@ Components become integers floor(1024 x), a vector is cut into PARTS equal parts
 has a codebook of ENTRIES entries. By the triangle inequality an entry at distance d from a part has a norm within d of
 the part's. So entries are sorted by norm; a part first meets the few entries of nearest norm, the best
 distance so far gives an interval of norms, found by bisection, and only entries in that annulus, its ends
-included, are evaluated: exactly, in integers.
+included, are evaluated: exactly, in integers. Parts of like norms have like annuli, so a block of them is evaluated
+over the union of theirs, by one product of matrices whose sums are whole numbers that doubles hold exactly (else 64-bit integers do).
 
 A round is one pass: tasks assign their parts and send one partial sum for each entry that they used.
 Codebooks are the only thing that goes to the driver and to all tasks: ENTRIES integers for each component.
@@ -32,15 +33,22 @@ from gristmill.sources.stores import discard, saved
 PARTS, ENTRIES, ROUNDS, UNIT = 4, 256, 4, 1024
 #: Entries of nearest norm that a part meets before its annulus is cut.
 FIRST = 8
-#: Distances that are evaluated at a time, in components.
-PAIRS = 1 << 21
+#: Parts whose annuli are evaluated together, and first distances evaluated at a time, in components.
+ROWS, PAIRS = 128, 1 << 18
 #: Labels whose sums may be broadcast; more are joined by a shuffle, each label's sum to so many salts.
 LABELS, SALTS = 100_000, 16
 
 
+def comparable(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as doubles, if these hold every squared distance of the integers exactly."""
+    most = int(np.abs(x).max(initial=0)) + int(np.abs(entries).max(initial=0))
+    kind = np.float64 if most * most * x.shape[1] < 1 << 53 else np.int64
+    return x.astype(kind), entries.astype(kind)  # products stay within 62 bits in any case, as integers are bounded
+
+
 def distances(x: np.ndarray, entries: np.ndarray, row: np.ndarray, entry: np.ndarray) -> np.ndarray:
     """Exact squared distances of the given pairs."""
-    out = np.zeros(len(row), np.int64)
+    out = np.zeros(len(row), x.dtype)
     step = max(1, PAIRS // x.shape[1])
     for lo in range(0, len(row), step):
         d = x[row[lo : lo + step]] - entries[entry[lo : lo + step]]
@@ -50,6 +58,7 @@ def distances(x: np.ndarray, entries: np.ndarray, row: np.ndarray, entry: np.nda
 
 def assigned(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each row's nearest entry, ties to the lower index, and its squared distance; all integers."""
+    x, entries = comparable(x, entries)
     norms = np.sqrt((entries.astype(np.float64) ** 2).sum(1))
     order = np.argsort(norms, kind="stable")
     sorted_norms = norms[order]
@@ -66,19 +75,15 @@ def assigned(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray
     slack = (own + reach + 1.0) * 1e-9
     lo = np.searchsorted(sorted_norms, own - reach - slack, "left")
     hi = np.searchsorted(sorted_norms, own + reach + slack, "right")
-    width = hi - lo
-    step = max(1, PAIRS // (len(entries) * x.shape[1]))
-    for a in range(0, len(x), step):
-        n = width[a : a + step]
-        row = np.repeat(np.arange(a, a + len(n)), n)
-        first = np.concatenate(([0], np.cumsum(n)))[:-1]
-        entry = order[np.repeat(lo[a : a + step] - first, n) + np.arange(n.sum())]
-        d = distances(x, entries, row, entry)
-        # the annulus holds the best entry so far, so it is never empty
-        least = np.minimum.reduceat(d, first)
-        tied = np.where(d == np.repeat(least, n), entry, len(entries))
-        best[a : a + step], index[a : a + step] = least, np.minimum.reduceat(tied, first)
-    return index, best
+    # parts of like norms have like annuli: a block of them meets the entries of all its annuli, by exact products
+    like, square = np.argsort(own, kind="stable"), (entries * entries).sum(1)
+    for a in range(0, len(x), ROWS):
+        rows = like[a : a + ROWS]
+        some = order[lo[rows].min() : hi[rows].max()]  # never empty, as the best entry so far is in it
+        d = (x[rows] * x[rows]).sum(1)[:, None] + square[some] - 2 * (x[rows] @ entries[some].T)
+        best[rows] = d.min(1)
+        index[rows] = np.where(d == best[rows][:, None], some, len(entries)).min(1)
+    return index, best.astype(np.int64)
 
 
 def whole(vectors: pa.Array, dim: int) -> np.ndarray:
@@ -98,7 +103,10 @@ def _sum(books: list[np.ndarray], dim: int) -> Callable[[Iterator[pa.RecordBatch
             for p, entries in enumerate(books):
                 part = x[:, p * size : (p + 1) * size]
                 index, _ = assigned(part, entries)
-                np.add.at(sums[p], index, part)
+                order = np.argsort(index, kind="stable")
+                used, first = np.unique(index[order], return_index=True)
+                if len(used):
+                    sums[p][used] += np.add.reduceat(part[order], first)
                 count[p] += np.bincount(index, minlength=len(entries))
         part, entry = np.nonzero(count)
         pos = np.tile(np.arange(size), len(part))
