@@ -56,7 +56,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The toxicity model can't be expressed in SQL; the tests hold run() against a plain version.
+#: The toxicity model can't be expressed in SQL; the tests hold run() against plain stages, and the model against plain steps.
 ORACLE_SQL = None
 
 
