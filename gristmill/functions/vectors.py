@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 LEAST_NORM = 1e-8
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """Nearest multiple of 10^-digits of the scaled number, as SQL engines on doubles have it.
+
+    ``F.round`` takes the shortest decimal form instead, so a number that was rounded before and now ends in 5 may go the other way.
+    """
+    scale = float(10**digits)
+    return F.round(x * F.lit(scale)) / F.lit(scale)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

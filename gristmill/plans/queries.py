@@ -176,7 +176,7 @@ def cluster_centroids(spark, d):
 
 def centroid_distance(spark, d):
     out = cluster.described(vectors(spark, d), ["label"])
-    return out.select("vec_id", "label", "cluster_size", F.round("distance_to_centroid", 4).alias("distance"))
+    return out.select("vec_id", "label", "cluster_size", V.rounded(F.col("distance_to_centroid"), 4).alias("distance"))
 
 
 def cluster_sizes(spark, d):
@@ -235,7 +235,7 @@ FROM l JOIN p USING (vec_id, bucket) JOIN q USING (bucket, cluster_id)
 
 def sampled_rows(spark, d) -> DataFrame:
     v = cluster.described(vectors(spark, d), ["label"])
-    return v.select(F.col("vec_id").alias("seq"), F.concat(F.lit("b"), F.col("label") % 3).alias("bucket"), F.col("label").alias("cluster"), F.round("distance_to_centroid", 4).alias("dist"))
+    return v.select(F.col("vec_id").alias("seq"), F.concat(F.lit("b"), F.col("label") % 3).alias("bucket"), F.col("label").alias("cluster"), V.rounded(F.col("distance_to_centroid"), 4).alias("dist"))
 
 
 def sizes(spark, d) -> DataFrame:
@@ -333,7 +333,7 @@ def length_histogram(spark, d):
 
 def distance_histogram(spark, d):
     h = report.histogram(sampled_rows(spark, d), "dist", 50, density=True)
-    return h.select("bin", "n", F.round("density", 4).alias("density"))
+    return h.select("bin", "n", V.rounded(F.col("density"), 4).alias("density"))
 
 
 def schema_profile(spark, d):

@@ -4,6 +4,7 @@ import math
 import numpy as np
 import pytest
 
+from gristmill.functions import vectors
 from gristmill.operators import cluster, layout, lloyd
 
 SCHEMA = "id long, bucket string, embedding array<double>, cluster_size string"
@@ -197,3 +198,9 @@ def test_layout_of_few_rows(spark):
     df = frame(spark, [(1, "a", [1.0, 2.0]), (2, "a", [1.0, 2.0]), (3, "a", None)])
     assert sorted(r.id for r in layout.laid_out(df, "id", epochs=10).collect()) == [1, 2]
     assert len(layout.laid_out(df.where("id = 1"), "id").collect()) == 1 and layout.laid_out(df.where("id = 3"), "id").collect() == []
+
+
+def test_a_second_rounding_goes_by_the_number(spark):
+    ends_in_5 = [1.00185, 1.00395, 1.02005, 1.00595, 0.5, 1.00186, -1.00395]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in ends_in_5], "x double").select(vectors.rounded(lloyd.F.col("x"), 4)).collect()]
+    assert got == [1.0018, 1.0039, 1.02, 1.0059, 0.5, 1.0019, -1.0039]
