@@ -157,8 +157,8 @@ def actual_k(label: str = "cluster_id") -> Column:
 PROJECTED = 50_000
 
 
-def projected(df: DataFrame, key: str, vector: str = "embedding", rows: int = PROJECTED, seed: int | str = 42) -> DataFrame:
-    """(key, x, y): the two main axes of a reproducible sample of rows, each axis' largest load positive.
+def projected(df: DataFrame, key: str, vector: str = "embedding", rows: int | None = PROJECTED, seed: int | str = 42) -> DataFrame:
+    """(key, x, y): the two main axes of a reproducible sample of rows (None: of all rows), each axis' largest load positive.
 
     Fewer than two rows, or vectors of one component, have zeros where there is no axis.
     """
@@ -166,7 +166,7 @@ def projected(df: DataFrame, key: str, vector: str = "embedding", rows: int = PR
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     own = df.where(F.col(vector).isNotNull()).select(F.col(key), F.transform(vector, lambda x: x.cast("double")).alias("_x"))
-    own = saved(hashed_sample(own, rows, key, seed))
+    own = saved(own if rows is None else hashed_sample(own, rows, key, seed))
     n, dim = own.agg(F.count("*"), F.max(F.size("_x"))).first()
     if n < 2:
         return own.select(key, F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))

@@ -234,7 +234,7 @@ def kmeans_fixed_point(spark, d):
 
 def projection(spark, d):
     """The two main axes of all rows; an axis has no sign of its own."""
-    p = cluster.projected(table(spark, d, "embeddings"), "vec_id")
+    p = cluster.projected(table(spark, d, "embeddings"), "vec_id", rows=None)
     return p.select("vec_id", F.round(F.abs("x"), 4).alias("x"), F.round(F.abs("y"), 4).alias("y"))
 
 

@@ -4,7 +4,7 @@ import json
 import numpy as np
 from gristmill import schema
 from gristmill.operators import cluster, enrich
-from gristmill.plans import batch
+from gristmill.plans import batch, record_queries
 from gristmill.streaming.incremental import first_seen
 from pyspark.sql import functions as F
 
@@ -89,3 +89,10 @@ def test_first_seen_holds_across_batches(spark, tmp_path):
         stream.writeStream.foreachBatch(lambda b, _: got.extend(r.k for r in b.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(got) == ["a", "b", "c"]
     assert sorted((r.k, r.v) for r in first_seen(rows(sum(parts, [])), "k", "ts").collect()) == [("a", 1), ("b", 2), ("c", 5)]
+
+
+def test_projection_has_every_row(spark, tmp_path):
+    n = cluster.PROJECTED + 3
+    spark.range(n).selectExpr("id AS vec_id", "array(float(id % 7), float(id % 3), float(id % 2)) AS embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = record_queries.projection(spark, str(tmp_path))
+    assert got.count() == n and got.select("vec_id").distinct().count() == n
