@@ -11,7 +11,9 @@ import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from gristmill import schema
 WAIT, STOP = {429, 500, 502, 503, 504}, {400, 401, 403, 404}
 
 
+#: Bytes of texts whose calls are made at a time; a longer text is a part of its own.
+PART = 1 << 20
+
+
 class CallError(Exception):
     """A failed call with its status (None: no answer) and the seconds the other side asks to wait."""
 
@@ -66,26 +72,39 @@ def pending(df: DataFrame, done: DataFrame, key: str, retry_errors: bool = True,
     return df.join(finished.select(F.col("id").alias(key)).distinct(), key, "left_anti")
 
 
+def parts(batch: pa.RecordBatch, text: str = "instruction") -> Iterator[pa.RecordBatch]:
+    """Slices of at least one row and about PART bytes of texts."""
+    ends = np.cumsum(pc.binary_length(batch[text]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def enriched(df: DataFrame, key: str, text: str, make: Callable[[], Callable[[str], str]], retries: int = 3, threads: int = 8, tasks: int | None = None, pause: bool = True) -> DataFrame:
-    """(id, instruction, status, response, error): a failed call is a row, never a failed task."""
+    """(id, instruction, status, response, error): a failed call is a row, never a failed task.
+
+    A batch is worked on in parts of about PART bytes of texts, so what a task holds grows neither with its rows nor with its batches.
+    """
     own = df.select(F.col(key).cast("string").alias("id"), F.col(text).alias("instruction"))
     own = own.repartition(tasks) if tasks else own
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
 
-        def one(row: tuple[str, str]) -> tuple:
+        def one(prompt: str | None) -> tuple:
             try:
-                return (*row, "ok", attempt(call, row[1], retries, time.sleep if pause else lambda s: None), None)
+                return "ok", attempt(call, prompt, retries, time.sleep if pause else lambda s: None), None
             except Exception as e:  # noqa: BLE001  the caller's failures become rows
-                return (*row, "error", None, f"{type(e).__name__}: {e}")
+                return "error", None, f"{type(e).__name__}: {e}"
 
         with ThreadPoolExecutor(threads) as threads_:
-            for b in batches:
-                rows = list(threads_.map(one, b.itertuples(index=False, name=None)))
-                yield pd.DataFrame(rows, columns=schema.ENRICHED.names)
+            for part in (p for b in batches for p in parts(b)):
+                made = zip(*threads_.map(one, part["instruction"].to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays([part["id"], part["instruction"], *(pa.array(c, pa.string()) for c in made)], schema.ENRICHED.names)
 
-    return own.mapInPandas(run, schema.ENRICHED)
+    return own.mapInArrow(run, schema.ENRICHED)
 
 
 def call_log(results: DataFrame, url: str, model: str) -> DataFrame:

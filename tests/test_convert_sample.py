@@ -2,6 +2,7 @@ import json
 import math
 import random
 
+import pyarrow as pa
 import pytest
 
 from gristmill import schema
@@ -218,3 +219,22 @@ def test_incremental(spark, tmp_path):
     df.coalesce(1).write.mode("append").parquet(src)
     assert run_available(spark, src, df.schema, step, sink, check, "id") == 0
     assert spark.read.parquet(sink).count() == 5
+
+
+def test_enrichment_holds_parts_of_a_batch(spark, monkeypatch):
+    """A batch of long texts is worked on in parts; before, it was held whole several times over."""
+    batch = pa.record_batch({"id": [str(i) for i in range(7)], "instruction": ["a" * 600_000, None, "b" * 600_000, "", "c" * 3_000_000, "d", "e"]})
+    made = list(enrich.parts(batch))
+    assert [p.num_rows for p in made] == [2, 2, 1, 2] and pa.Table.from_batches(made).combine_chunks().to_batches()[0].equals(batch)
+    rows = spark.createDataFrame([(i, "x" * (i % 7)) for i in range(50)], "id long, t string")
+
+    def make():
+        def call(prompt):
+            if len(prompt) == 3:
+                raise enrich.CallError(400)
+            return prompt[:2]
+
+        return call
+
+    got = {r.id: (r.instruction, r.status, r.response, r.error) for r in enrich.enriched(rows, "id", "t", make, pause=False).collect()}
+    assert len(got) == 50 and got["3"] == ("xxx", "error", None, "CallError: status 400") and got["8"] == ("x", "ok", "x", None)
