@@ -1,12 +1,14 @@
-"""Table functions for SQL: ``LATERAL text_segments(text)`` and ``LATERAL text_shingles(text, width)``."""
+"""Table functions for SQL: ``LATERAL text_segments(text)``, ``LATERAL text_shingles(text, width)`` and ``table_shingles(TABLE(t), width)``."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
@@ -55,6 +57,27 @@ class Shingles:
         yield from seen.items()
 
 
+class TableShingles:
+    """(id, shingle, n) of a table of an id and a text: as ``Shingles``, with the rows of a text as one Arrow batch.
+
+    Whole tables go through it by batches; Spark takes no such function behind LATERAL.
+    """
+
+    def eval(self, table: pa.RecordBatch, widths: pa.Array) -> Iterator[pa.RecordBatch]:
+        width = widths[0].as_py()
+        if not isinstance(width, int) or not 1 <= width <= 7:
+            raise ValueError("table_shingles takes a width of 1 to 7")
+        for key, text in zip(table.column(0).to_pylist(), table.column(1).cast(pa.large_binary()), strict=True):
+            text = text.as_py() or b""
+            data = np.frombuffer(text, np.uint8).astype(np.int64)
+            made = np.zeros(max(1, len(data) - width + 1), np.int64)
+            for i in range(min(width, len(data))):
+                made = (made << 8) | data[i : len(made) + i]
+            shingle, n = np.unique(made, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), key)), pa.array(shingle), pa.array(n.astype(np.int64))], ["id", "shingle", "n"])
+
+
 def register(spark: SparkSession) -> None:
     spark.udtf.register("text_segments", udtf(Segments))
     spark.udtf.register("text_shingles", udtf(Shingles))
+    spark.udtf.register("table_shingles", arrow_udtf(TableShingles, returnType="id long, shingle long, n long"))

@@ -379,7 +379,7 @@ def segments_by_sql(spark, d):
 
 def shingles_by_sql(spark, d):
     tables.register(spark)
-    return spark.sql("SELECT doc_id, count(*) AS n_shingles, sum(s.n) AS n_places FROM {docs}, LATERAL text_shingles(text, 5) s GROUP BY doc_id", docs=docs(spark, d))
+    return spark.sql("SELECT id AS doc_id, count(*) AS n_shingles, sum(n) AS n_places FROM table_shingles(TABLE({docs}), 5) GROUP BY id", docs=docs(spark, d).select("doc_id", "text"))
 
 
 def html_escape(spark, d):

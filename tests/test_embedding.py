@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gristmill.functions import tables
@@ -65,3 +66,13 @@ def test_table_functions(spark):
     for wrong in ("text_segments(1)", "text_shingles('a', 9)", "text_shingles('a', 'b')"):
         with pytest.raises(Exception, match="takes a"):
             spark.sql(f"SELECT * FROM {wrong}").collect()
+
+
+def test_shingles_are_batches(spark):
+    """A text's rows come as one Arrow batch; before, each was made in Python."""
+    made = list(tables.TableShingles().eval(pa.record_batch({"id": [1, 2, 3, 4], "t": ["aaab", None, "é", "ab"]}), pa.array([2])))
+    assert [list(zip(*b.to_pydict().values(), strict=True)) for b in made] == [[(1, 0x6161, 2), (1, 0x6162, 1)], [(2, 0, 1)], [(3, 0xC3A9, 1)], [(4, 0x6162, 1)]]
+    tables.register(spark)
+    rows = spark.createDataFrame([(1, "abcabc"), (2, None), (3, "x" * 5000), (4, "ab")], "id long, t string")
+    got = spark.sql("SELECT id, count(*) AS n, sum(n) AS places, max(shingle) AS most FROM table_shingles(TABLE({rows}), 5) GROUP BY id", rows=rows).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, 2, 0x6263616263), (2, 1, 1, 0), (3, 1, 4996, 0x7878787878), (4, 1, 1, 0x6162)]
