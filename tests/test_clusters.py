@@ -204,3 +204,39 @@ def test_a_second_rounding_goes_by_the_number(spark):
     ends_in_5 = [1.00185, 1.00395, 1.02005, 1.00595, 0.5, 1.00186, -1.00395]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in ends_in_5], "x double").select(vectors.rounded(lloyd.F.col("x"), 4)).collect()]
     assert got == [1.0018, 1.0039, 1.02, 1.0059, 0.5, 1.0019, -1.0039]
+
+
+def jobs(spark, made):
+    """The result of a call and the number of jobs that it took."""
+    spark.sparkContext.setJobGroup(made.__name__, "")
+    out = made()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(made.__name__))
+
+
+def test_small_batches_share_jobs(spark, monkeypatch):
+    """Batches of a run are worked on within one job; before, each took several."""
+    rows = [(i, "ab"[i % 2], x) for i, _, x in blobs(400, k=8)]
+    fit = lloyd.Fit(frame(spark, rows).repartition(3), "bucket", "embedding", "id")
+    first = fit.start({0: 5, 1: 4}, 2)
+
+    def in_runs():
+        return fit.minibatch(first, 40, 2, 2, 0.2, 1000)
+
+    got, n = jobs(spark, in_runs)
+    assert n <= 12  # 20 batches
+    monkeypatch.setattr(lloyd, "RUN", 0)
+    apart = fit.minibatch(first, 40, 2, 2, 0.2, 1000)
+    assert all(np.array_equal(got[b], apart[b]) for b in (0, 1))
+
+
+def test_seeds_share_passes(spark):
+    """The rounds of several seeds are those of each alone, in as many passes as the longest takes."""
+    rows = [(i, "ab"[i % 2], x) for i, _, x in blobs(300, k=8)]
+    fit = lloyd.Fit(frame(spark, rows).repartition(3), "bucket", "embedding", "id")
+    starts = [fit.start({0: 4, 1: 5}, s) for s in (1, 2, 3)]
+    alone = [fit.lloyd(c, 30, 1e-4) for c in starts]
+    books = fit.lloyd({n * fit.buckets + b: c for n, s in enumerate(starts) for b, c in s.items()}, 30, 1e-4)
+    assert all(np.array_equal(books[n * fit.buckets + b], c) for n, own in enumerate(alone) for b, c in own.items())
+    cost = fit.inertia(books)
+    assert all(cost[n * fit.buckets + b] == c for n, own in enumerate(alone) for b, c in fit.inertia(own).items())
