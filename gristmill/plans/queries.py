@@ -132,7 +132,10 @@ g AS MATERIALIZED (SELECT doc_id, list(v ORDER BY k) AS sig FROM m GROUP BY doc_
 
 
 def near_dedup_survivors(spark, d):
-    rows = saved(curate.clean(docs(spark, d)).select("doc_id", "lang", "text"))
+    return survivors(saved(curate.clean(docs(spark, d)).select("doc_id", "lang", "text")))
+
+
+def survivors(rows: DataFrame) -> DataFrame:
     return lsh.near_dedup(rows, "doc_id", "text", "lang", {"en": 0.8, "fr": 0.7}).select("doc_id", "lang")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill import schema
-from gristmill.operators import cluster, convert, enrich, report, sample
+from gristmill.operators import cluster, convert, curate, enrich, report, sample
 from gristmill.plans import queries
 from gristmill.sources import jsonl
 from gristmill.sources.stores import saved, shared_folder, table
@@ -209,8 +209,11 @@ def dedup_rates(spark, d):
 
     Near-dedup drops the copies of a text within its domain as well, so it leaves the same rows of a domain with or without the stage before.
     """
-    count = lambda f: f(spark, d).count()
-    r = report.rates(docs(spark, d).count(), count(queries.deduped), count(queries.near_dedup_survivors), count(queries.pool), count(queries.high_priority), count(queries.anneal))
+    clean = saved(curate.clean(docs(spark, d)).select("doc_id", "lang", "source", "text"))  # both dedups read it
+    exact = curate.exact_dedup(clean.select("doc_id", "source", F.sha2("text", 256).alias("text")), "text", queries.priority(), "doc_id").count()
+    near, pool = queries.survivors(clean.select("doc_id", "lang", "text")).count(), queries.pooled(spark, d)
+    high = saved(sample.high_priority(pool, queries.HIGH, queries.SEED, "seq"))
+    r = report.rates(docs(spark, d).count(), exact, near, pool.count(), high.count(), sample.remainder(pool, high, "seq").count())
     return spark.range(1).select(F.round(F.lit(r["exact_rate"]), 6).alias("exact_rate"), F.round(F.lit(r["near_rate"]), 6).alias("near_rate"), F.lit(r["pool_ok"]).alias("pool_ok"))
 
 

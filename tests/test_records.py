@@ -3,7 +3,7 @@ import json
 
 import numpy as np
 from gristmill import schema
-from gristmill.operators import cluster, enrich
+from gristmill.operators import cluster, curate, enrich
 from gristmill.plans import batch, record_queries
 from gristmill.streaming.incremental import first_seen
 from pyspark.sql import functions as F
@@ -96,3 +96,21 @@ def test_projection_has_every_row(spark, tmp_path):
     spark.range(n).selectExpr("id AS vec_id", "array(float(id % 7), float(id % 3), float(id % 2)) AS embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = record_queries.projection(spark, str(tmp_path))
     assert got.count() == n and got.select("vec_id").distinct().count() == n
+
+
+def test_rates_make_each_stage_once(spark, small, monkeypatch):
+    calls = {"clean": 0, "pooled": 0}
+
+    def counted(where, name):
+        f = getattr(where, name)
+
+        def run(*a):
+            calls[name] += 1
+            return f(*a)
+
+        monkeypatch.setattr(where, name, run)
+
+    counted(curate, "clean")
+    counted(record_queries.queries, "pooled")
+    r = record_queries.dedup_rates(spark, small).first()
+    assert calls == {"clean": 1, "pooled": 1} and r.pool_ok
