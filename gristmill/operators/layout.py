@@ -1,7 +1,7 @@
 """A plane layout of vectors that keeps neighbourhoods: nearest-neighbour graph, fuzzy weights, edge sampling.
 
-It is made for a sample of bounded size (``POINTS`` rows and ``NUMBERS`` numbers, checked), as a picture can't show more; the
-sample's vectors and its plane positions are what every task holds.
+It is made for a sample of ``POINTS`` rows, as a picture can't show more, or (``rows=None``) for all rows. Either has at most ``NUMBERS``
+numbers, beyond which it is an error and never fewer rows; the vectors and its plane positions are what every task holds.
 
 Graph: exact. Copies of a vector are one point with their ids in order. Points lie in cells around a root's number of
 pivots; a cell whose pivot is farther than the k-th best distance so far and the cell's radius is skipped. What is
@@ -34,7 +34,7 @@ from gristmill.operators.lloyd import BLOCK, ROWS, Middles
 from gristmill.operators.sample import hashed_sample
 from gristmill.sources.stores import saved
 
-#: Rows of a sample at most, and numbers of its vectors.
+#: Rows of a sample at most, and numbers of all vectors.
 POINTS, NUMBERS = 50_000, 1 << 24
 NEIGHBOURS, EPOCHS, SYNC, NEGATIVES = 15, 200, 10, 5
 #: Parts of a layout at most, and heads of a part at least.
@@ -130,12 +130,15 @@ def bandwidths(far: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
 class Sample:
     """The rows of a layout: keys in order, and their vectors."""
 
-    def __init__(self, df: DataFrame, key: str, vector: str, rows: int, seed: int | str):
+    def __init__(self, df: DataFrame, key: str, vector: str, rows: int | None, seed: int | str):
         fine = F.col(key).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
         own = df.where(fine).groupBy(F.col(key).alias("_key")).agg(F.min(F.transform(vector, lambda v: v.cast("double") + F.lit(0.0))).alias("_x"))
         self.kind = own.schema["_key"].dataType.simpleString()
-        self.table = saved(hashed_sample(own, min(rows, POINTS), "_key", seed))
-        got = self.table.orderBy("_key").toArrow()  # at most POINTS rows
+        self.table = saved(own if rows is None else hashed_sample(own, min(rows, POINTS), "_key", seed))
+        size = self.table.agg(F.sum(F.size("_x"))).first()[0] or 0
+        if rows is None and size > NUMBERS:
+            raise ValueError(f"{size} numbers of all vectors are over {NUMBERS}; take a sample")
+        got = self.table.orderBy("_key").toArrow()  # at most POINTS rows, or NUMBERS numbers
         size = got["_x"].combine_chunks().value_lengths().to_numpy() if got.num_rows else np.zeros(0, np.int64)
         self.dim = int(size[0]) if len(size) else 1
         got = got.filter(pa.array(size == self.dim)) if len(size) else got
@@ -173,7 +176,7 @@ class Sample:
         return df
 
 
-def graph(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int = POINTS, seed: int | str = 42) -> DataFrame:
+def graph(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int | None = POINTS, seed: int | str = 42) -> DataFrame:
     """(id, other, rank, distance): the k nearest others of each row of a sample, ties to the smaller key."""
     own = Sample(df, key, vector, rows, seed)
     return own.named(own.directed(k).withColumnRenamed("row", "id"), "id", "other").select("id", "other", "rank", "distance")
@@ -205,7 +208,7 @@ def _union(directed: DataFrame) -> DataFrame:
     return both.agg((F.sum("weight") - F.when(F.count("weight") == 2, F.max("weight") * F.min("weight")).otherwise(0.0)).alias("weight"))
 
 
-def fuzzy(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int = POINTS, seed: int | str = 42) -> DataFrame:
+def fuzzy(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int | None = POINTS, seed: int | str = 42) -> DataFrame:
     """(id, other, weight): edges of the fuzzy union, each once, the smaller key first."""
     own = Sample(df, key, vector, rows, seed)
     return own.named(_union(saved(own.directed(k))).withColumnRenamed("row", "id"), "id", "other").select("id", "other", "weight")
@@ -266,7 +269,7 @@ def axes(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def laid_out(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int = POINTS, epochs: int = EPOCHS, sync: int = SYNC, seed: int = 42) -> DataFrame:
+def laid_out(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, rows: int | None = POINTS, epochs: int = EPOCHS, sync: int = SYNC, seed: int = 42) -> DataFrame:
     """(key, x, y): plane positions of a reproducible sample of rows."""
     own = Sample(df, key, vector, rows, seed)
     n = len(own.keys)
@@ -281,7 +284,7 @@ def laid_out(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHB
         dealt = saved(fires.select(F.pmod("row", F.lit(parts)).cast("int").alias("part"), "row", "other", (F.col("weight") / most).alias("rate")).repartition(parts, "part"))
         spark = own.spark
         for first in range(0, epochs, sync):
-            shared = spark.sparkContext.broadcast(at)  # two numbers for each of at most POINTS rows
+            shared = spark.sparkContext.broadcast(at)  # two numbers for each row
             got = dealt.mapInArrow(_move(shared, range(first, min(first + sync, epochs)), epochs, seed), "row long, x double, y double").toArrow()
             at = at.copy()
             at[got["row"].to_numpy()] = np.stack([got["x"].to_numpy(), got["y"].to_numpy()], 1)

@@ -240,3 +240,15 @@ def test_seeds_share_passes(spark):
     assert all(np.array_equal(books[n * fit.buckets + b], c) for n, own in enumerate(alone) for b, c in own.items())
     cost = fit.inertia(books)
     assert all(cost[n * fit.buckets + b] == c for n, own in enumerate(alone) for b, c in fit.inertia(own).items())
+
+
+def test_graphs_take_all_rows_or_say_so(spark, monkeypatch):
+    """A sample has its limit; all rows are never cut to it."""
+    rows = frame(spark, [(i, "a", x) for i, _, x in blobs(120)])
+    monkeypatch.setattr(layout, "POINTS", 50)
+    assert layout.graph(rows, "id", k=3).select("id").distinct().count() == 50
+    assert layout.graph(rows, "id", k=3, rows=None).select("id").distinct().count() == 120
+    assert layout.laid_out(rows, "id", rows=None, epochs=2).count() == 120
+    monkeypatch.setattr(layout, "NUMBERS", 500)
+    with pytest.raises(ValueError):
+        layout.graph(rows, "id", rows=None)
