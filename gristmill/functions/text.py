@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType
 
 #: What counts as white space at the ends of a text.
 SPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
+NO_SPACE = SPACE.replace("[", "[^", 1)
 MIN_LENGTH = 3
 
 
@@ -26,12 +27,15 @@ def nfc(text: Column) -> Column:
     It is called nondeterministic so that no filter on its result is pushed below it and makes it run twice.
     """
     made = F.arrow_udf(_nfc, StringType()).asNondeterministic()
-    return F.coalesce(made(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    return F.coalesce(made(F.when(F.octet_length(text) != F.length(text), text)), text)
 
 
 def strip(text: Column) -> Column:
-    """Without white space of any kind at the ends (``trim`` takes spaces only)."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space of any kind at the ends (``trim`` takes spaces only).
+
+    One match from the start to the last other character; a search for white space at the end would begin anew at each space.
+    """
+    return F.regexp_extract(text, f"(?s)\\A{SPACE}*+(.*{NO_SPACE})", 1)
 
 
 def clean_text(text: Column) -> Column:

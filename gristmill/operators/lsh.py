@@ -7,7 +7,7 @@ lexicographically first maximal independent set by ``seq``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +28,12 @@ FINISH = 200_000
 LEAST = 16
 #: Keys after which a task settles the whole components that it has.
 RUN = 100_000
-#: Bytes of texts that are worked on at once, so that temporaries stay in cache.
-BLOCK = 1 << 16
+#: Bytes of texts that are worked on at once; the more, the more of their shingles are the same.
+BLOCK = 1 << 20
+#: Hashes that are made at once, so that temporaries stay in cache.
+RUN_OF_HASHES = 1 << 15
+#: Hashes of a text that are expected below the bound of ``_least``.
+EXPECTED = 16
 
 
 @lru_cache
@@ -55,7 +59,7 @@ def flat_signatures(texts: pa.Array, n: int = PERMUTATIONS) -> np.ndarray:
     offs = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy())))
     data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
     a, b = (x.astype(np.uint64) for x in family(n))
-    p, bits = np.uint64(PRIME), np.uint64(31)
+    p = np.uint64(PRIME)
     out, lo = np.zeros((len(texts), n), np.int64), 0
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + BLOCK, "right")) - 1)
@@ -63,29 +67,100 @@ def flat_signatures(texts: pa.Array, n: int = PERMUTATIONS) -> np.ndarray:
         made = np.maximum(size - WIDTH + 1, 1)
         at = np.concatenate(([0], np.cumsum(made)))[:-1]
         x = data[offs[lo] : offs[hi]].astype(np.uint64)
-        runs = max(len(x) - WIDTH + 1, 0)
-        v = np.zeros(runs, np.uint64)
+        whole = max(len(x) - WIDTH + 1, 0)
+        v = np.zeros(whole, np.uint64)
         for i in range(WIDTH):
-            v = (v << np.uint64(8)) | x[i : runs + i]
+            v = (v << np.uint64(8)) | x[i : whole + i]
         spot = np.repeat(offs[lo:hi] - offs[lo] - at, made) + np.arange(made.sum())
-        h = v[np.minimum(spot, runs - 1)] if runs else np.zeros(len(spot), np.uint64)
+        h = v[np.minimum(spot, whole - 1)] if whole else np.zeros(len(spot), np.uint64)
         for r in np.flatnonzero(size < WIDTH):
             h[at[r]] = int.from_bytes(data[offs[lo + r] : offs[lo + r + 1]].tobytes(), "big")
-        h %= p
-        # modulo 2^31 - 1: the halves' sum is under twice the prime, and the smaller of it and it less the prime is right
-        y, z = np.empty_like(h), np.empty_like(h)
-        for k in range(n):
-            np.multiply(h, a[k], out=y)
-            np.add(y, b[k], out=y)
-            np.right_shift(y, bits, out=z)
-            np.bitwise_and(y, p, out=y)
-            np.add(y, z, out=y)
-            np.subtract(y, p, out=z)
-            out[lo:hi, k] = np.minimum.reduceat(np.minimum(y, z, out=y), at)
+        # a shingle of a block is hashed once, however many texts have it, unless most have no other
+        own, number, row = _shared(h, np.repeat(np.arange(hi - lo), made))
+        if 2 * len(own) <= len(h):
+            least, all_, spare = _least(number, row, hi - lo, len(own)), np.empty_like(own), np.empty(RUN_OF_HASHES, np.uint64)
+            own %= p
+            for k in range(n):
+                for i in range(0, len(own), RUN_OF_HASHES):
+                    _hashed(own[i : i + RUN_OF_HASHES], a[k], b[k], all_[i : i + RUN_OF_HASHES], spare)
+                out[lo:hi, k] = least(all_)
+        else:
+            h %= p
+            ends = np.append(at, len(h))
+            i = 0
+            while i < hi - lo:
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] + RUN_OF_HASHES, "right")) - 1)
+                part = h[ends[i] : ends[j]]
+                y, z = np.empty_like(part), np.empty_like(part)
+                for k in range(n):
+                    out[lo + i : lo + j, k] = np.minimum.reduceat(_hashed(part, a[k], b[k], y, z), at[i:j] - at[i])
+                i = j
         lo = hi
     return out
 
 
+def _hashed(h: np.ndarray, a: np.uint64, b: np.uint64, y: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """(a * h + b) modulo PRIME in ``y``; ``z`` is room for as many."""
+    p, z = np.uint64(PRIME), z[: len(h)]
+    np.multiply(h, a, out=y)
+    np.add(y, b, out=y)
+    # modulo 2^31 - 1: the halves' sum is under twice the prime, and the smaller of it and it less the prime is right
+    np.right_shift(y, np.uint64(31), out=z)
+    np.bitwise_and(y, p, out=y)
+    np.add(y, z, out=y)
+    np.subtract(y, p, out=z)
+    return np.minimum(y, z, out=y)
+
+
+def _shared(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles (of 40 bits), and (number of the shingle, row) of each one that a row has, in this order; rows are in order."""
+    if len(h) < 1 << 24:
+        packed = np.sort((h << np.uint64(24)) | np.arange(len(h), dtype=np.uint64))
+        row = row[(packed & np.uint64((1 << 24) - 1)).view(np.int64)]
+        h = packed >> np.uint64(24)
+    else:  # one long text
+        order = np.argsort(h, kind="stable")
+        h, row = h[order], row[order]
+    other = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=other[1:])
+    new = other.copy()
+    new[1:] |= row[1:] != row[:-1]
+    return h[other], (np.cumsum(other) - 1)[new], row[new]
+
+
+def _least(number: np.ndarray, row: np.ndarray, rows: int, shingles: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A function that gives each row's smallest hash from those of the shingles.
+
+    Of rows with many shingles only the hashes below a bound are looked at, under which EXPECTED of them at least are expected.
+    Other rows, and those that have none below it, take all of theirs.
+    """
+    size = np.bincount(row, minlength=rows)
+    starts = np.concatenate(([0], np.cumsum(np.bincount(number, minlength=shingles))))
+    own = number[np.argsort(row.astype(np.uint16) if rows <= 1 << 16 else row, kind="stable")]
+    begin = np.concatenate(([0], np.cumsum(size)))
+    few = max(size.mean() / 2, 4 * EXPECTED)
+    short = np.flatnonzero(size < few)
+    bound = np.uint64(min(EXPECTED / few, 1) * PRIME)
+    each = np.repeat(begin[short] - np.concatenate(([0], np.cumsum(size[short])))[:-1], size[short])
+    all_short, at_short = own[each + np.arange(len(each))], np.concatenate(([0], np.cumsum(size[short])))[:-1]
+    many = len(short) < rows
+
+    def least(hashes: np.ndarray) -> np.ndarray:
+        out = np.full(rows, PRIME, np.uint64)
+        if many:
+            low = np.flatnonzero(hashes < bound)
+            n = starts[low + 1] - starts[low]
+            there = row[np.repeat(starts[low] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            np.minimum.at(out, there, np.repeat(hashes[low], n))
+        if len(short):
+            out[short] = np.minimum.reduceat(hashes[all_short], at_short)
+        for r in np.flatnonzero(out == PRIME):
+            out[r] = hashes[own[begin[r] : begin[r + 1]]].min()
+        return out
+
+    return least
+
+
 def signature(text: str, n: int = PERMUTATIONS) -> np.ndarray:
     return flat_signatures(pa.array([text]), n)[0]
 

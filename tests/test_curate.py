@@ -96,3 +96,14 @@ def test_saved_leaves_the_session_as_it_was(spark):
     assert spark.conf.get(stores.BATCH_SETTING) == was and made.count() == 10
     stores.discard(made)
     assert not os.path.exists(made._saved_at)
+
+
+def test_strip_takes_time_in_proportion(spark):
+    """Long white space within a text: a search for white space at the end began anew at each of its characters."""
+    import time
+
+    texts = ["x" + " " * 300_000 + "y", " \t\u00a0a b\n c\u2028\x85\n", "\u3000 \n", "", "a", "\x1c\x1fb\r\n"]
+    began = time.time()
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.clean_text(F.col("t")).alias("t")).orderBy("i").collect()
+    assert [r["t"] for r in rows] == [texts[0], "a b\n c", "", "", "a", "b"]
+    assert time.time() - began < 20

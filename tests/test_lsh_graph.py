@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gristmill.operators import lsh
@@ -117,3 +118,19 @@ def test_a_long_chain_takes_few_jobs(spark):
 def test_greedy_on_nothing_and_repeated_rows(spark):
     assert lsh.greedy(spark.createDataFrame([], "seq long, key long")).collect() == []
     assert [r.seq for r in lsh.greedy(spark.createDataFrame([(2, 5), (2, 5), (1, 5), (1, 6), (3, 6), (3, 7), (4, 7)], "seq long, key long")).orderBy("seq").collect()] == [1, 4]
+
+
+def test_shared_shingles_are_hashed_once(monkeypatch):
+    rng, hashed, plain = np.random.default_rng(5), [], lsh._hashed
+    phrases = ["".join(map(chr, rng.integers(97, 123, 400))) for _ in range(20)]
+    texts = [" ".join(phrases[i] for i in rng.integers(0, 20, 1 + k % 7)) for k in range(150)] + ["", "ab", "\u00e9" * 30, None]
+    monkeypatch.setattr(lsh, "_hashed", lambda h, *x: hashed.append(len(h)) or plain(h, *x))
+    got = lsh.flat_signatures(pa.array(texts), 16)
+    assert sum(hashed) < 16 * 20_000  # 240,000 shingles, some 10,000 of them distinct
+    a, b = lsh.family(16)
+    for row, text in zip(got, texts, strict=True):
+        h = lsh.byte_shingles(text or "") % lsh.PRIME
+        assert row.tolist() == [int(((int(x) * h + int(y)) % lsh.PRIME).min()) for x, y in zip(a, b, strict=True)]
+    # texts that have little in common
+    other = ["".join(map(chr, rng.integers(33, 127, 700))) for _ in range(40)]
+    assert (lsh.flat_signatures(pa.array(other), 16) == np.concatenate([lsh.flat_signatures(pa.array([t]), 16) for t in other])).all()
