@@ -238,3 +238,23 @@ def test_enrichment_holds_parts_of_a_batch(spark, monkeypatch):
 
     got = {r.id: (r.instruction, r.status, r.response, r.error) for r in enrich.enriched(rows, "id", "t", make, pause=False).collect()}
     assert len(got) == 50 and got["3"] == ("xxx", "error", None, "CallError: status 400") and got["8"] == ("x", "ok", "x", None)
+
+
+def against_sql(spark, folder, *names):
+    """Rows of queries and of their SQL on odd texts: none, blank ones, marks and image tags within."""
+    import duckdb
+
+    from gristmill.plans import queries
+
+    odd = ["plain", None, "", ' "', '" " "', " \x85\x0b\x1c", "a <image> b", "<image>", "Instruction:", 'Instruction: x"', "a "]
+    rows = spark.createDataFrame([(n * len(odd) + i, t) for n in range(1155) for i, t in enumerate(odd)], "doc_id long, text string")
+    rows.union(rows.selectExpr("doc_id + 12706", "text")).coalesce(1).write.parquet(f"{folder}/documents.parquet")  # a text meets each remainder of 11
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet/*.parquet'")
+    order = lambda got: sorted(map(tuple, got), key=str)
+    return [(order(queries.QUERIES[n](spark, str(folder)).collect()), order(sql.execute(queries.ORACLE_SQL[n]).fetchall())) for n in names]
+
+
+def test_rows_convert_as_in_their_sql(spark, tmp_path):
+    (got, want), *_ = against_sql(spark, tmp_path, "convert_rows")
+    assert got == want and {r[3] for r in got} == {None, 1, 2}
