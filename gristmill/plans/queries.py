@@ -103,8 +103,6 @@ def convert_skip_reasons(spark, d):
     return convert.skip_counts(convert.converted(raw_rows(spark, d)))
 
 
-REASON = r"""CASE WHEN doc_id % 7 = 0 THEN 'missing_assistant_text' WHEN doc_id % 11 = 0 AND NOT contains(text, 'Instruction:') THEN 'missing_user_content'
-  WHEN doc_id % 3 = 0 AND doc_id % 5 = 0 THEN 'invalid_image_format' WHEN doc_id % 3 = 0 AND doc_id % 5 = 1 THEN 'invalid_relative_path' WHEN doc_id % 3 = 0 AND doc_id % 5 = 2 THEN 'invalid_image_format' END"""
 #: White space at the ends of a text, as in CLEAN; what stands around an instruction; and the rules of ``convert.converted`` on ``raw_rows``.
 STRIP = r"regexp_replace({t}, '^[\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}\x{{0b}}]+|[\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}\x{{0b}}]+$', '', 'g')"
 TAIL = r"""regexp_extract(prompt, '(?s)Instruction:[\s\x0b]*"?(.*?)"?[\s\x0b]*$', 1)"""
@@ -499,7 +497,7 @@ ORACLE_SQL = {
 u AS (SELECT conv_id, max(CASE WHEN p = 1 AND role = 'user' THEN text END) AS instruction, max(CASE WHEN p = 2 AND role = 'assistant' THEN text END) AS reply FROM t GROUP BY conv_id)
 SELECT conv_id, instruction, length(reply) AS svg_len, CASE WHEN coalesce(instruction, '') = '' THEN 'no_instruction' WHEN reply IS NULL THEN 'no_svg' END AS skip_reason FROM u""",
     "convert_rows": f"WITH {REASONS} SELECT doc_id, skip_reason, 2 AS turns, CASE WHEN skip_reason IS NULL THEN CASE WHEN tagged THEN 2 ELSE 1 END END AS items FROM r",
-    "convert_skip_reasons": f"SELECT coalesce({REASON}, 'ok') AS skip_reason, count(*) AS n FROM documents GROUP BY ALL",
+    "convert_skip_reasons": f"WITH {REASONS} SELECT coalesce(skip_reason, 'ok') AS skip_reason, count(*) AS n FROM r GROUP BY ALL",
     "byte_shingles": "WITH h AS (SELECT doc_id, hex(encode(text)) AS x FROM documents) SELECT doc_id, length(x) // 2 AS n_bytes, CASE WHEN length(x) <= 10 THEN 1 ELSE len(list_distinct(list_transform(range(0, length(x) // 2 - 4), lambda i: substr(x, 2 * i + 1, 10)))) END AS n_shingles FROM h",
     "minhash_signatures": _minhash_sql("SELECT doc_id, array_to_string(sig, ',') AS sig FROM g"),
     "band_keys": _minhash_sql("SELECT doc_id, band, md5(array_to_string(sig[band * 13 + 1:band * 13 + 13], ',')) AS key FROM (SELECT doc_id, sig, unnest(range(0, 9))::INT AS band FROM g)"),

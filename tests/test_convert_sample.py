@@ -258,3 +258,8 @@ def against_sql(spark, folder, *names):
 def test_rows_convert_as_in_their_sql(spark, tmp_path):
     (got, want), *_ = against_sql(spark, tmp_path, "convert_rows")
     assert got == want and {r[3] for r in got} == {None, 1, 2}
+
+
+def test_skip_reasons_count_as_in_their_sql(spark, tmp_path):
+    (got, want), *_ = against_sql(spark, tmp_path, "convert_skip_reasons")
+    assert got == want and len(got) == 5
