@@ -15,6 +15,9 @@ says; the head moves to the tail and away from some random points, one edge of a
 heads for ``sync`` epochs while the rest stands still, then all positions meet. Random numbers depend on the seed, the
 epoch and the part alone, so the layout doesn't depend on how parts are dealt to tasks.
 
+``graph_of_all``, ``fuzzy_of_all`` and ``layout_of_all`` are the same for tables of any size: neighbours come from ``nearest``, and nothing
+but the plane positions (two numbers for each row, at most ``NUMBERS``) is held whole.
+
 Defined cases: rows with a null key, or a vector that is null, empty, holds null, NaN or infinity, or has another length than the first
 by order, take no part; of repeated keys the smallest vector stays; fewer than k + 1 points have as many neighbours as
 there are; an empty table gives an empty result.
@@ -30,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators import nearest
 from gristmill.operators.lloyd import BLOCK, ROWS, Middles
 from gristmill.operators.sample import hashed_sample
 from gristmill.sources.stores import saved
@@ -39,6 +43,8 @@ POINTS, NUMBERS = 50_000, 1 << 24
 NEIGHBOURS, EPOCHS, SYNC, NEGATIVES = 15, 200, 10, 5
 #: Parts of a layout at most, and heads of a part at least.
 PARTS, HEADS = 32, 250
+#: Heads of a part of all rows, and numbers of a group whose moments are summed.
+SHARE, GROUP = 16_384, 1 << 20
 #: Halvings of a bandwidth's interval; a bandwidth is at least this share of the mean distance.
 HALVINGS, LEAST = 64, 1e-3
 #: 1 / (1 + a d^2b) fitted to a plateau up to 0.1 and a fall of scale 1 after it.
@@ -293,6 +299,90 @@ def laid_out(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHB
     return own.spark.createDataFrame(made) if n else own.table.where("false").select(F.col("_key").alias(key), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
 
+def graph_of_all(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS) -> DataFrame:
+    """``graph`` of all rows."""
+    own = nearest.finite(df, key, vector)
+    return nearest.by_key(nearest.neighbours(own, k).withColumnRenamed("row", "id"), own, "id", "other").select("id", "other", "rank", "distance")
+
+
+def fuzzy_of_all(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS) -> DataFrame:
+    """``fuzzy`` of all rows."""
+    own = nearest.finite(df, key, vector)
+    return nearest.by_key(_union(nearest.neighbours(own, k)).withColumnRenamed("row", "id"), own, "id", "other").select("id", "other", "weight")
+
+
+def _moments(table: DataFrame, groups: int, mid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of differences from ``mid`` and of their products, always added in one order."""
+
+    def run(part: pa.Table) -> pa.Table:
+        x = nearest.flat(part.take(pa.array(np.argsort(part["row"].to_numpy()))), "x") - mid
+        return pa.table({"_g": part["_g"][:1], "s": pa.array([np.concatenate((x.sum(0), (x.T @ x).ravel()))])})
+
+    dealt = table.select(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("_g"), "row", "x")
+    got = dealt.groupBy("_g").applyInArrow(run, "_g long, s array<double>").orderBy("_g").toArrow()  # a row for each group
+    total = nearest.flat(got, "s").sum(0)
+    return total[: len(mid)], total[len(mid) :].reshape(len(mid), -1)
+
+
+def _start(table: DataFrame, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order and their coordinates on the two main axes, the largest load of each positive."""
+    groups = -(-n * dim // GROUP)
+    mid = _moments(table, groups, np.zeros(dim))[0] / n
+    _, vectors = np.linalg.eigh(_moments(table, groups, mid)[1])
+    top = vectors[:, ::-1][:, :2]
+    top = top * np.where(top[np.abs(top).argmax(0), np.arange(top.shape[1])] < 0, -1.0, 1.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = nearest.flat(batch, "x") - mid
+            at = np.zeros((len(x), 2))
+            for c in range(dim):  # a product's last digits would depend on the batch
+                at[:, : top.shape[1]] += x[:, c : c + 1] * top[c]
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(at[:, 0]), pa.array(at[:, 1])], ["row", "x", "y"])
+
+    got = table.select("row", "x").mapInArrow(run, "row long, x double, y double").orderBy("row").toArrow()  # two numbers for each row
+    return got["row"].to_numpy(), np.stack([got["x"].to_numpy(), got["y"].to_numpy()], 1)
+
+
+def layout_of_all(df: DataFrame, key: str, vector: str = "embedding", k: int = NEIGHBOURS, epochs: int = EPOCHS, sync: int = SYNC, seed: int = 42, directed: DataFrame | None = None) -> DataFrame:
+    """``laid_out`` of all rows; ``directed`` is what ``graph_of_all`` has made of the same rows, if it is there and keys are integers."""
+    table = nearest.finite(df, key, vector)
+    n, dim = table.agg(F.count("*"), F.max(F.size("x"))).first()
+    if 2 * n > NUMBERS:
+        raise ValueError(f"positions of {n} rows are over {NUMBERS} numbers; take a sample")
+    if not n:
+        return table.select(F.col("_key").alias(key), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    spark = table.sparkSession
+    rows, at = _start(table, n, dim)
+    at *= WIDTH / max(np.abs(at).max(), 1e-300)
+    at += np.random.default_rng(seed).normal(0, 1e-4, at.shape)
+    directed = nearest.neighbours(table, k) if directed is None else directed.select(F.col("id").cast("long").alias("row"), F.col("other").cast("long").alias("other"), "rank", "distance")
+    edges = saved(_union(directed))
+    most = edges.agg(F.max("weight")).first()[0]
+    if most:
+        names = spark.sparkContext.broadcast(rows)
+
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, other = (np.searchsorted(names.value, batch[c].to_numpy()) for c in ("row", "other"))
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(other), batch["rate"]], ["row", "other", "rate"])
+
+        both = edges.unionByName(edges.select(F.col("other").alias("row"), F.col("row").alias("other"), "weight"))
+        fires = both.where(F.col("weight") >= most / epochs).select("row", "other", (F.col("weight") / most).alias("rate"))  # the others don't fire once
+        parts = max(1, min(max(PARTS, n // SHARE), n // HEADS))
+        numbered = fires.mapInArrow(placed, "row long, other long, rate double")
+        dealt = saved(numbered.select(F.pmod("row", F.lit(parts)).cast("int").alias("part"), "row", "other", "rate").repartition(parts, "part"))
+        for first in range(0, epochs, sync):
+            shared = spark.sparkContext.broadcast(at)  # two numbers for each row
+            got = dealt.mapInArrow(_move(shared, range(first, min(first + sync, epochs)), epochs, seed), "row long, x double, y double").toArrow()
+            at = at.copy()
+            at[got["row"].to_numpy()] = np.stack([got["x"].to_numpy(), got["y"].to_numpy()], 1)
+            shared.unpersist()
+        names.unpersist()
+    made = spark.createDataFrame(pa.table({"_row": rows, "x": at[:, 0], "y": at[:, 1]}))
+    return made.join(table.select(F.col("row").alias("_row"), F.col("_key").alias(key)), "_row").select(key, "x", "y")
+
+
 def kept_neighbours(high: DataFrame, low: DataFrame) -> DataFrame:
     """(n, share): of the pairs of one graph the share that another graph of the same rows has."""
     met = high.select("id", "other").join(low.select("id", "other", F.lit(1).alias("_in")), ["id", "other"], "left")

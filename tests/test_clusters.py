@@ -252,3 +252,25 @@ def test_graphs_take_all_rows_or_say_so(spark, monkeypatch):
     monkeypatch.setattr(layout, "NUMBERS", 500)
     with pytest.raises(ValueError):
         layout.graph(rows, "id", rows=None)
+
+
+def test_graph_of_all_has_no_limit(spark, monkeypatch):
+    """Tables of many parts, beyond what a sample may have: each row and tie as by brute force."""
+    from gristmill.operators import nearest
+
+    monkeypatch.setattr(layout, "NUMBERS", 500)
+    for name, value in (("CELL", 20), ("LEAST", 40), ("BLOCK", 16), ("NUMBERS", 300)):
+        monkeypatch.setattr(nearest, name, value)
+    rows = [(i, "a", x) for i, _, x in blobs(150)]
+    rows += [(200 + i, "a", rows[3][2]) for i in range(60)] + [(300 + i, "a", [float(i % 3), float(i % 5), 9.0, 9.0, 9.0, 9.0]) for i in range(90)]
+    rows += [(400, "a", None), (401, "a", [1.0]), (402, "a", [float("inf")] * 6), (None, "a", rows[0][2]), (7, "a", rows[7][2])]
+    x = {i: np.array(v) for i, _, v in rows if i is not None and v is not None and len(v) == 6 and np.isfinite(v).all()}
+    want = {}
+    for i, v in x.items():
+        near = sorted((math.sqrt(sum((v - w) ** 2)), j) for j, w in x.items() if j != i)[:5]
+        want |= {(i, n + 1): (j, d) for n, (d, j) in enumerate(near)}
+    df = frame(spark, rows)
+    assert {(r.id, r["rank"]): (r.other, r.distance) for r in layout.graph_of_all(df, "id", k=5).collect()} == want
+    named = df.withColumn("id", lloyd.F.format_string("%03d", "id"))  # keys that are no numbers
+    assert {(int(r.id), r["rank"]): int(r.other) for r in layout.graph_of_all(named.where("id <> 'null'"), "id", k=5).collect()} == {a: b for a, (b, _) in want.items()}
+    assert len(layout.graph_of_all(frame(spark, rows[:3]), "id", k=5).collect()) == 6 and layout.graph_of_all(frame(spark, []), "id").collect() == []
